@@ -1,7 +1,9 @@
 """Queries over the record frames, with their SQL twins."""
 
 import recspark.catalog.scans
-import recspark.catalog.trees  # noqa: F401
+import recspark.catalog.trees
+import recspark.catalog.reports
+import recspark.catalog.history  # noqa: F401
 from recspark.catalog.base import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

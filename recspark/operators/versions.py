@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recspark import model
 from recspark.functions import ids
+from recspark.plans.ordered import ordered, running_max
 
 VERSION = ["vo_id", "sys_version"]
 
@@ -80,26 +81,16 @@ def fill_period_upper(versions: DataFrame) -> DataFrame:
     return filled.withColumn("sys_period_upper", F.coalesce("_next_lower", "sys_period_upper")).drop("_next_lower").select(*versions.columns)
 
 
-_BLOCK_BITS = 10  # versions per block of the running maximum
-
-
 def strict_times(versions: DataFrame, time: str = "sys_period_lower") -> DataFrame:
     """Make start times strictly increase: a version not later than its predecessor starts 1 microsecond after it.
 
-    With ``u = time - version * 1us`` the fold is a running maximum of ``u`` by version. It is taken in blocks of
-    versions, so that an object with very many versions is spread over tasks.
+    With ``u = time - version * 1us`` this fold is the running maximum of ``u`` by version.
     """
     kind = versions.schema[time].dataType
-    rows = versions.withColumn(
-        "_u", F.unix_micros(F.col(time).cast("timestamp")) - F.col("sys_version")
-    ).withColumn("_block", F.shiftright("sys_version", _BLOCK_BITS))
-    by_block = rows.groupBy("vo_id", "_block").agg(F.max("_u").alias("_top"))
-    earlier = Window.partitionBy("vo_id").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = by_block.select("vo_id", "_block", F.max("_top").over(earlier).alias("_carry"))
-    inside = Window.partitionBy("vo_id", "_block").orderBy("sys_version").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("_u", F.max("_u").over(inside)).join(carried, ["vo_id", "_block"])
-    micros = F.greatest("_u", "_carry") + F.col("sys_version")
-    return rows.withColumn(time, F.timestamp_micros(micros).cast(kind)).select(*versions.columns)
+    u = F.unix_micros(F.col(time).cast("timestamp")) - F.col("sys_version")
+    rows = running_max(versions, ["vo_id"], "sys_version", {"_u": u})
+    fixed = F.timestamp_micros(F.col("_u") + F.col("sys_version")).cast(kind)
+    return rows.withColumn(time, fixed).select(*versions.columns)
 
 
 def version_at(versions: DataFrame, at) -> DataFrame:
@@ -109,21 +100,19 @@ def version_at(versions: DataFrame, at) -> DataFrame:
     return versions.filter((lower <= t) & (upper.isNull() | (upper > t)))
 
 
-def version_at_keys(versions: DataFrame, keys: DataFrame) -> DataFrame:
-    """Version valid per row of ``keys(vo_id, at)``.
+def version_at_keys(versions: DataFrame, keys: DataFrame, limit: int | None = None) -> DataFrame:
+    """Version valid per row of ``keys(vo_id, at)``; rows without a valid version are dropped.
 
-    Validity periods of one object do not overlap, so each key meets one version. Both sides are cut into time
-    slices of one day: a version is repeated for the days it covers, a key lies in one day, and the join is an
-    equi join on (object, day) with the period as residual. Open versions join by object instead.
+    Versions and keys are put in one time order per object; the last start before a key names its version, which
+    is then fetched by number. No pair of a key and another version is ever built.
     """
-    day = F.to_date("at")
-    spans = versions.filter("sys_period_upper IS NOT NULL AND sys_period_upper > sys_period_lower")
-    spans = spans.withColumn("_day", F.explode(F.sequence(F.to_date("sys_period_lower"), F.to_date("sys_period_upper"))))
-    closed = keys.withColumn("_day", day).join(spans, ["vo_id", "_day"]).filter(
-        (F.col("sys_period_lower") <= F.col("at")) & (F.col("sys_period_upper") > F.col("at"))
-    ).drop("_day")
-    open_ = keys.join(versions.filter("sys_period_upper IS NULL"), "vo_id").filter(F.col("sys_period_lower") <= F.col("at"))
-    return closed.unionByName(open_)
+    starts = versions.select("vo_id", F.col("sys_period_lower").alias("at"), F.lit(0).alias("_kind"), F.col("sys_version").alias("_version"))
+    asked = keys.withColumns({"_kind": F.lit(1), "_version": F.lit(None).cast("int")})
+    both = asked.unionByName(starts, allowMissingColumns=True)
+    found = ordered(both, ["vo_id"], ["at", "_kind"], maxes={"sys_version": "_version"}, limit=limit)
+    found = found.filter("_kind = 1 AND sys_version IS NOT NULL").drop("_kind", "_version")
+    rows = found.join(versions, VERSION)
+    return rows.filter(F.col("sys_period_upper").isNull() | (F.col("sys_period_upper") > F.col("at")))
 
 
 def version_n(versions: DataFrame, keys: DataFrame) -> DataFrame:

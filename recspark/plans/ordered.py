@@ -132,3 +132,26 @@ def _sliced(df, keys, order, number, sums, maxes, lag, lead, slices) -> DataFram
             rows = rows.join(other, on, "left").drop("_o_number", *[f"_o_{k}" for k in keys])
     wanted = [*df.columns, *([number] if number else []), *sums, *maxes, *lag, *lead]
     return rows.select(*wanted)
+
+
+_BLOCK_BITS = 10  # 1,024 positions per block
+
+
+def running_max(
+    df: DataFrame, keys: Sequence[str], position: str, values: Mapping[str, Column], inclusive: bool = True
+) -> DataFrame:
+    """Running maxima per group by an integer ``position`` that is unique in its group.
+
+    Positions are cut into blocks of fixed length; blocks are windowed on their own and the maxima of the earlier
+    blocks are carried over, so a large group is spread over many tasks whatever its size.
+    """
+    inputs = {f"_v_{o}": c for o, c in values.items()}
+    rows = df.withColumns({**inputs, "_block": F.shiftright(position, _BLOCK_BITS)})
+    by_block = rows.groupBy(*keys, "_block").agg(*[F.max(f"_v_{o}").alias(f"_t_{o}") for o in values])
+    earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = by_block.select(*keys, "_block", *[F.max(f"_t_{o}").over(earlier).alias(f"_c_{o}") for o in values])
+    end = Window.currentRow if inclusive else -1
+    inside = Window.partitionBy(*keys, "_block").orderBy(position).rowsBetween(Window.unboundedPreceding, end)
+    rows = rows.withColumns({f"_p_{o}": F.max(f"_v_{o}").over(inside) for o in values})
+    rows = rows.join(carried, [*keys, "_block"])
+    return rows.withColumns({o: F.greatest(f"_p_{o}", f"_c_{o}") for o in values}).select(*df.columns, *values)
