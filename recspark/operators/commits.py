@@ -4,7 +4,8 @@ A change carries ``change_id, vo_id, ehr_id, change_type, preceding_version, com
 Within a batch the changes of an object are chained by their preceding version. For one preceding version the
 earliest change (time, then id) counts; a delete that would hit a deleted object gives way to the earliest change
 that is no delete. Every step is an aggregation or an equi join on (object, version), or a running maximum in
-blocks, so an object with very many changes is spread over tasks.
+blocks, so an object with very many changes is spread over tasks. The slim rows of the chain (object, version,
+change id, times; no payload) are checkpointed between the steps.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from recspark import model
 from recspark.functions import ids
 from recspark.operators.versions import all_versions, latest_version, strict_times
 from recspark.plans.ordered import ordered, running_max
+from recspark.plans.stable import stable
 
 UPDATES = ("modification", "amendment")
 
@@ -73,6 +75,8 @@ def chain_commits(latest: DataFrame, changes: DataFrame) -> tuple[DataFrame, Dat
         F.first("_v0").alias("_v0"), F.first("_lower0").alias("_lower0"),
         F.first(F.coalesce("_deleted0", F.lit(False))).alias("_deleted0"),
     )
+    # slim rows (one per object and version), read several times below
+    steps = stable(steps)
     n, d = F.col("_n"), F.col("_d")
     delete_first = d.isNotNull() & (n.isNull() | (d < n))
     before = steps.select("vo_id", (F.col("_p") + 1).alias("_p"), F.lit(True).alias("_linked"))
@@ -92,6 +96,7 @@ def chain_commits(latest: DataFrame, changes: DataFrame) -> tuple[DataFrame, Dat
         "vo_id", (F.col("_p") + 1).alias("sys_version"), F.col("_choice.change_id").alias("change_id"),
         F.col("_choice.committed_at").alias("sys_period_lower"), "_v0", "_lower0",
     )
+    chosen = stable(chosen)
 
     # strictly increasing start times, counted on from the version before the batch
     first = chosen.filter("sys_version = _v0 + 1 AND _v0 > 0").select(
@@ -100,7 +105,7 @@ def chain_commits(latest: DataFrame, changes: DataFrame) -> tuple[DataFrame, Dat
     )
     timed = strict_times(chosen.drop("_v0", "_lower0").unionByName(first)).filter("change_id IS NOT NULL")
     after = timed.select("vo_id", (F.col("sys_version") - 1).alias("sys_version"), F.col("sys_period_lower").alias("sys_period_upper"))
-    timed = timed.join(after, ["vo_id", "sys_version"], "left")
+    timed = stable(timed.join(after, ["vo_id", "sys_version"], "left"))
 
     accepted = changes.join(timed.drop("vo_id"), "change_id").withColumn("sys_deleted", F.col("change_type") == "deleted")
     late = (
