@@ -4,7 +4,8 @@ import recspark.catalog.scans
 import recspark.catalog.trees
 import recspark.catalog.reports
 import recspark.catalog.history
-import recspark.catalog.documents  # noqa: F401
+import recspark.catalog.documents
+import recspark.catalog.streams  # noqa: F401
 from recspark.catalog.base import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

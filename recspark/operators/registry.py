@@ -46,9 +46,11 @@ def upsert_definitions(definitions: DataFrame, changes: DataFrame) -> tuple[Data
     of a batch that lead to the same version, the one with the lowest id is stored.
     """
     model.require(changes, "change_id", "namespace", "name", "version", "text")
-    found = semver_resolve(definitions, changes).select(*NAME, F.col("version").alias("_v"), F.col("semver").alias("_stored"))
-    on = [changes["namespace"] == found["namespace"], changes["name"] == found["name"], changes["version"].eqNullSafe(found["_v"])]
-    rows = changes.join(found, on).select(*[changes[c] for c in changes.columns], "_stored")
+    found = semver_resolve(definitions, changes).select(
+        F.col("namespace").alias("_ns"), F.col("name").alias("_n"), F.col("version").alias("_v"), F.col("semver").alias("_stored")
+    )
+    same = (F.col("namespace") == F.col("_ns")) & (F.col("name") == F.col("_n")) & F.col("version").eqNullSafe(F.col("_v"))
+    rows = changes.join(found, same).drop("_ns", "_n", "_v")
     rows = rows.withColumn("semver", semver_next(F.col("version"), F.col("_stored")))
     good = rows.filter("semver IS NOT NULL")
     first = good.groupBy(*NAME, "semver").agg(F.min("change_id").alias("change_id"))

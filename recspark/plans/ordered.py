@@ -7,6 +7,8 @@ into ordered slices, each slice is windowed on its own, and the slices' totals a
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -18,17 +20,15 @@ HOT_GROUP_ROWS = 1_000_000
 
 
 def large_groups(df: DataFrame, keys: Sequence[str], limit: int) -> tuple[DataFrame, int] | None:
-    """Keys of groups above ``limit`` rows and their total row count; None if there are none."""
+    """Keys (as ``_g_*``) of groups above ``limit`` rows and their total row count; None if there are none."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit)
     total = counts.agg(F.sum("_n").alias("rows")).first()["rows"]
-    return None if total is None else (counts.select(*keys), int(total))
+    return None if total is None else (counts.select(*[F.col(k).alias(f"_g_{k}") for k in keys]), int(total))
 
 
-def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & left[k].eqNullSafe(right[k])
-    return cond
+def _same(keys: Sequence[str], prefix: str) -> Column:
+    """Null-safe equality of the keys with their prefixed copies."""
+    return functools.reduce(operator.and_, [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys])
 
 
 def ordered(
@@ -54,8 +54,8 @@ def ordered(
     if large is None:
         return _windowed(df, keys, order, number, sums, maxes, lag, lead)
     names, rows = large
-    large_rows = df.join(names, _null_safe(df, names, keys), "left_semi")
-    small_rows = df.join(names, _null_safe(df, names, keys), "left_anti")
+    large_rows = df.join(names, _same(keys, "_g_"), "left_semi")
+    small_rows = df.join(names, _same(keys, "_g_"), "left_anti")
     small = _windowed(small_rows, keys, order, number, sums, maxes, lag, lead)
     return small.unionByName(_sliced(large_rows, keys, order, number, sums, maxes, lag, lead, rows // limit + 1))
 
@@ -106,10 +106,7 @@ def _sliced(df, keys, order, number, sums, maxes, lag, lead, slices) -> DataFram
             **{f"_p_{o}": F.max(f"_v_{o}").over(running) for o in maxes},
         }
     )
-    match = rows["_slice"] == carried["_k_slice"]
-    for k in keys:
-        match = match & rows[k].eqNullSafe(carried[f"_k_{k}"])
-    rows = rows.join(carried, match)
+    rows = rows.join(carried, (F.col("_slice") == F.col("_k_slice")) & _same(keys, "_k_"))
     rows = rows.withColumn("_number", (F.col("_p_n") + F.col("_c_n")).cast("long"))
     new = {number: F.col("_number")} if number else {}
     for o in sums:
@@ -126,10 +123,8 @@ def _sliced(df, keys, order, number, sums, maxes, lag, lead, slices) -> DataFram
                 (F.col("_number") + step).alias("_o_number"),
                 F.col(f"_v_{o}").alias(o),
             )
-            on = rows["_number"] == other["_o_number"]
-            for k in keys:
-                on = on & rows[k].eqNullSafe(other[f"_o_{k}"])
-            rows = rows.join(other, on, "left").drop("_o_number", *[f"_o_{k}" for k in keys])
+            near = (F.col("_number") == F.col("_o_number")) & _same(keys, "_o_")
+            rows = rows.join(other, near, "left").drop("_o_number", *[f"_o_{k}" for k in keys])
     wanted = [*df.columns, *([number] if number else []), *sums, *maxes, *lag, *lead]
     return rows.select(*wanted)
 
