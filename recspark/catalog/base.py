@@ -11,6 +11,7 @@ from recspark.sources.tables import LINE_NODES, Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
+BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {}  # the same queries over a given set of frames
 
 _tables: dict[tuple[str, str], Tables] = {}
 
@@ -27,6 +28,7 @@ def query(name: str, sql: str | None = None):
     def register(fn: Callable[[Tables], DataFrame]):
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
+        BUILDERS[name] = fn
         QUERIES[name] = lambda spark, sf_dir: fn(tables(spark, sf_dir))
         if sql is not None:
             SQL[name] = with_frames(sql)

@@ -36,7 +36,12 @@ def documents(t):
         F.lit("COMPOSITION").alias("_type"), F.lit("openEHR-EHR-COMPOSITION.text.v1").alias("archetype_node_id"),
         F.struct(F.col("source").alias("value")).alias("name"), F.transform(F.split("text", "\n", -1), line).alias("content"),
     )
-    return t.table("documents").select("doc_id", doc.alias("doc"))
+    texts = t.table("documents").select("doc_id", "lang", "source", "text")
+    cores = t.spark.sparkContext.defaultParallelism
+    if not texts.isStreaming and len(texts.inputFiles()) < cores:
+        # a few files with one row group each would be flattened by as many tasks
+        texts = texts.repartition(cores)
+    return texts.select("doc_id", doc.alias("doc"))
 
 
 frame(

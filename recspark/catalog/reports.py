@@ -81,7 +81,7 @@ def _(t):
 
 @query(
     "E7_avg_json",
-    f"""SELECT user_id, CAST(CAST(sum({_K}) AS DECIMAL(38,6)) / count({_K}) AS DECIMAL(18,3)) AS mean, CAST(NULL AS DECIMAL(18,3)) AS no_numbers
+    f"""SELECT user_id, CAST(((sum({_K}) * 1000)::HUGEINT * 2 + count({_K})) // (2 * count({_K})) / 1000 AS DECIMAL(18,3)) AS mean, CAST(NULL AS DECIMAL(18,3)) AS no_numbers
         FROM events GROUP BY user_id""",
 )
 def _(t):
@@ -168,7 +168,7 @@ def _(t):
 @query(
     "Q3_owner_statistics",
     """SELECT v.ehr_id, count(*) AS n, count(DISTINCT v.vo_id) AS objects, max(e.magnitude) AS hi, min(e.magnitude) AS lo,
-              CAST(CAST(sum(e.magnitude) AS DECIMAL(38,6)) / count(e.magnitude) AS DECIMAL(18,2)) AS mean, CAST(sum(e.magnitude) AS DECIMAL(28,2)) AS total
+              CAST(((sum(e.magnitude) * 100)::HUGEINT * 2 + count(e.magnitude)) // (2 * count(e.magnitude)) / 100 AS DECIMAL(18,2)) AS mean, CAST(sum(e.magnitude) AS DECIMAL(28,2)) AS total
        FROM f_comp_version v JOIN f_nodes e ON e.vo_id = v.vo_id
        WHERE e.rm_entity = 'ELEMENT' AND e.dv_type = 'DV_QUANTITY' GROUP BY v.ehr_id""",
 )
