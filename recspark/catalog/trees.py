@@ -56,7 +56,7 @@ _CONTAINS = """SELECT o.vo_id, o.num AS o_num, e.num AS e_num, e.magnitude AS e_
 
 @query("D2_contains", _CONTAINS)
 def _(t):
-    rows = c.contains(_obs(t), "o", _el(t, "e", "at0004", ["magnitude"]), "e")
+    rows = c.contains(_obs(t), "o", _el(t, "e", "at0004", ["magnitude"]), "e", blocks=t.blocks)
     return rows.select("vo_id", "o_num", "e_num", "e_magnitude")
 
 
@@ -101,7 +101,7 @@ _A = "{b}.vo_id = o.vo_id AND {b}.num > o.num AND {b}.num <= o.num_cap"
           AND s.rm_entity = 'CLUSTER'""",
 )
 def _(t):
-    rows = c.contains_all(_obs(t), "o", [("q", _el(t, "q", "at0005")), ("s", c.nodes_as(t.nodes, "s", "CLUSTER"))])
+    rows = c.contains_all(_obs(t), "o", [("q", _el(t, "q", "at0005")), ("s", c.nodes_as(t.nodes, "s", "CLUSTER"))], blocks=t.blocks)
     return rows.select("vo_id", "o_num", "q_num", "s_num")
 
 
@@ -114,7 +114,7 @@ _ANY = f"""SELECT o.vo_id, o.num AS o_num, k.num AS k_num, e.num AS e_num FROM f
 def _any(t):
     late = (F.col("entity_concept") == "at0006") & (F.col("magnitude") > 729000)
     parts = [("k", c.nodes_as(t.nodes, "k", "CLUSTER")), ("e", c.nodes_as(t.nodes, "e", "ELEMENT", where=late))]
-    return c.contains_any(_obs(t), "o", parts).select("vo_id", "o_num", "k_num", "e_num")
+    return c.contains_any(_obs(t), "o", parts, blocks=t.blocks).select("vo_id", "o_num", "k_num", "e_num")
 
 
 @query("D7_contains_any", _ANY)
@@ -136,8 +136,8 @@ def _(t):
 def _(t):
     done = c.nodes_as(t.nodes, "d", "ELEMENT", where=F.col("value_str") == "F")
     dear = (F.col("entity_concept") == "at0005") & (F.col("magnitude") > 50000)
-    parts = [c.chain(c.nodes_as(t.nodes, "k", "CLUSTER"), "k", done, "d"), ("e", c.nodes_as(t.nodes, "e", "ELEMENT", where=dear))]
-    return c.contains_any(_obs(t), "o", parts).select("vo_id", "o_num", "k_num", "d_num", "e_num")
+    parts = [c.chain(c.nodes_as(t.nodes, "k", "CLUSTER"), "k", done, "d", blocks=t.blocks), ("e", c.nodes_as(t.nodes, "e", "ELEMENT", where=dear))]
+    return c.contains_any(_obs(t), "o", parts, blocks=t.blocks).select("vo_id", "o_num", "k_num", "d_num", "e_num")
 
 
 @query(
@@ -186,7 +186,7 @@ def _(t):
         AND NOT EXISTS (SELECT 1 FROM f_nodes k WHERE {_A.format(b='k')} AND k.rm_entity = 'CLUSTER')""",
 )
 def _(t):
-    return c.not_contains(_obs(t), "o", c.nodes_as(t.nodes, "k", "CLUSTER"), "k").select("vo_id", "o_num")
+    return c.not_contains(_obs(t), "o", c.nodes_as(t.nodes, "k", "CLUSTER"), "k", blocks=t.blocks).select("vo_id", "o_num")
 
 
 # ---------------------------------------------------------------------------------------------
@@ -538,8 +538,8 @@ def _(t):
     wanted = p.like_text(name, "pri*") | p.like_text(name, "shi?ped")
     rows = c.contains_owner(t.ehr, t.comp_version)
     rows = c.contains_root(rows, _obs(t))
-    rows = c.contains(rows, "o", c.nodes_as(t.nodes, "pe", "POINT_EVENT"), "pe")
-    rows = c.contains(rows, "pe", c.nodes_as(t.nodes, "e", "ELEMENT", where=wanted, columns=["entity_name", "magnitude"]), "e")
+    rows = c.contains(rows, "o", c.nodes_as(t.nodes, "pe", "POINT_EVENT"), "pe", blocks=t.blocks)
+    rows = c.contains(rows, "pe", c.nodes_as(t.nodes, "e", "ELEMENT", where=wanted, columns=["entity_name", "magnitude"]), "e", blocks=t.blocks)
     rows = order_by(rows, [("vo_id", "desc"), ("sys_version", "desc"), ("e_num", "asc")])
     uid = version_id(F.col("vo_id"), SYSTEM, F.col("sys_version"))
     return limit_offset(rows, 2).select(

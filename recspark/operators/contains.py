@@ -7,6 +7,9 @@ Frames carry the object key (``vo_id`` or ``ehr_id, folder_idx``) and, per node
 repeated for every block its interval touches (one, for objects of ordinary size), a B row lies in exactly one.
 The join is then an equi join on (key, block) with the interval as residual, so that neither one huge object nor
 one huge subtree ends up in a single task or compares all its pairs.
+
+``blocks=False`` leaves the blocks out: all joins of a query then share one partitioning by object key. Use it only
+where ``objects_fit`` has shown that no object has more nodes than a block.
 """
 
 from __future__ import annotations
@@ -59,10 +62,29 @@ def contains_root(left: DataFrame, b: DataFrame, key: Sequence[str] = OBJECT, ro
     return joined.filter(F.col(f"{alias}_num") > F.col(f"{root}_num")) if root and alias else joined
 
 
+def objects_fit(nodes: DataFrame) -> bool:
+    """Whether every object has at most one block of nodes; reads ``num_cap`` of the roots only."""
+    largest = nodes.filter("num = 0").agg(F.max("num_cap").alias("n")).first()["n"]
+    return largest is None or largest < (1 << BLOCK_BITS)
+
+
 def _block(c: Column) -> Column:
     return F.shiftright(c, BLOCK_BITS)
 
 
+def _plain(left: DataFrame, a: str, right: DataFrame, b: str, key: Sequence[str], local: str | None, how: str) -> DataFrame:
+    """Join on the object key with everything else as residual, for objects of known small size."""
+    cond = (F.col(f"{b}_num") > F.col(f"{a}_num")) & (F.col(f"{b}_num") <= F.col(f"{a}_num_cap"))
+    if local == "archetype":
+        cond = F.col(f"{b}_citem_num") == F.col(f"{a}_num")
+    elif local == "node":
+        cond = cond & (F.col(f"{b}_citem_num") == F.col(f"{a}_citem_num"))
+    other = right.withColumnsRenamed({k: f"_r_{k}" for k in key})
+    for k in key:
+        cond = cond & (F.col(k) == F.col(f"_r_{k}"))
+    return left.join(other, cond, how).drop(*[f"_r_{k}" for k in key])
+
+
 def _pairs(left: DataFrame, a: str, right: DataFrame, b: str, key: Sequence[str], local: str | None) -> DataFrame:
     """Inner join; ``local``: None, 'archetype' or 'node'."""
     a_num, a_cap, b_num = F.col(f"{a}_num"), F.col(f"{a}_num_cap"), F.col(f"{b}_num")
@@ -91,12 +113,17 @@ def contains(
     key: Sequence[str] = OBJECT,
     how: str = "inner",
     local: str | None = None,
+    blocks: bool = True,
 ) -> DataFrame:
     """Node alias ``a`` of ``left`` CONTAINS node alias ``b`` of ``right``.
 
     ``local='archetype'``: B belongs to A's own archetype (nested archetypes excluded); ``local='node'``: A and B
     belong to the same archetype. ``how``: inner, left, left_semi or left_anti.
     """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"unsupported join: {how}")
+    if not blocks:
+        return _plain(left, a, right, b, key, local, how)
     if how == "inner":
         return _pairs(left, a, right, b, key, local)
     ids = [*key, f"{a}_num"]
@@ -105,31 +132,37 @@ def contains(
     pairs = pairs.drop(f"{a}_num_cap", *([f"{a}_citem_num"] if local == "node" else []))
     if how == "left":
         return left.join(pairs, ids, "left")
-    if how in ("left_semi", "left_anti"):
-        return left.join(pairs.select(*ids).distinct(), ids, how)
-    raise ValueError(f"unsupported join: {how}")
+    return left.join(pairs.select(*ids).distinct(), ids, how)
 
 
-def not_contains(left: DataFrame, a: str, right: DataFrame, b: str, key: Sequence[str] = OBJECT) -> DataFrame:
-    return contains(left, a, right, b, key, how="left_anti")
+def not_contains(
+    left: DataFrame, a: str, right: DataFrame, b: str, key: Sequence[str] = OBJECT, blocks: bool = True
+) -> DataFrame:
+    return contains(left, a, right, b, key, how="left_anti", blocks=blocks)
 
 
-def contains_all(left: DataFrame, a: str, parts: Sequence[tuple[str, DataFrame]], key: Sequence[str] = OBJECT) -> DataFrame:
+def contains_all(
+    left: DataFrame, a: str, parts: Sequence[tuple[str, DataFrame]], key: Sequence[str] = OBJECT, blocks: bool = True
+) -> DataFrame:
     """A CONTAINS (B AND C ...): all combinations of the parts within one A."""
     for b, frame in parts:
-        left = contains(left, a, frame, b, key)
+        left = contains(left, a, frame, b, key, blocks=blocks)
     return left
 
 
-def chain(first: DataFrame, b: str, second: DataFrame, d: str, key: Sequence[str] = OBJECT) -> tuple[str, DataFrame]:
+def chain(
+    first: DataFrame, b: str, second: DataFrame, d: str, key: Sequence[str] = OBJECT, blocks: bool = True
+) -> tuple[str, DataFrame]:
     """B CONTAINS D as one part: present only as a whole."""
-    return b, contains(first, b, second, d, key)
+    return b, contains(first, b, second, d, key, blocks=blocks)
 
 
-def contains_any(left: DataFrame, a: str, parts: Sequence[tuple[str, DataFrame]], key: Sequence[str] = OBJECT) -> DataFrame:
+def contains_any(
+    left: DataFrame, a: str, parts: Sequence[tuple[str, DataFrame]], key: Sequence[str] = OBJECT, blocks: bool = True
+) -> DataFrame:
     """A CONTAINS (B OR C ...): combinations with NULLs for absent parts, at least one part present."""
     for b, frame in parts:
-        left = contains(left, a, frame, b, key, how="left")
+        left = contains(left, a, frame, b, key, how="left", blocks=blocks)
     present = [F.col(f"{b}_num").isNotNull() for b, _ in parts]
     return left.filter(functools.reduce(operator.or_, present))
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from recspark.operators.contains import objects_fit
 from recspark.plans.ordered import ordered
 
 LINE_ORDER = [
@@ -164,6 +165,11 @@ class Tables:
         )
         return roots.unionByName(context).unionByName(per_line)
 
+    @cached_property
+    def blocks(self) -> bool:
+        """Whether containment joins need blocks: some object has more nodes than one block."""
+        return not objects_fit(self.nodes)
+
     @cached_property
     def versions(self) -> DataFrame:
         kind = (
