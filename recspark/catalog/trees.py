@@ -160,7 +160,7 @@ _FOLDER_ITEMS = """SELECT f.ehr_id, f.num AS f_num, i.item_vo_id FROM f_folder_n
 )
 def _(t):
     folders = c.folders_as(t.folder_nodes, "f", F.col("depth") < 2)
-    rows = c.folder_contains(folders, "f", t.folder_nodes, t.folder_items, t.comp_version)
+    rows = c.folder_contains(folders, "f", t.folder_items, t.comp_version)
     return rows.select("folder_ehr_id", "f_num", "vo_id", "sys_version")
 
 
@@ -222,7 +222,7 @@ def _(t):
 @query("N3_folder_items", _FOLDER_ITEMS)
 def _(t):
     folders = c.folders_as(t.folder_nodes, "f", F.col("depth") < 2)
-    return c.folder_items(folders, "f", t.folder_nodes, t.folder_items).select("ehr_id", "f_num", "item_vo_id")
+    return c.folder_items(folders, "f", t.folder_items).select("ehr_id", "f_num", "item_vo_id")
 
 
 @query(
@@ -278,7 +278,7 @@ _Q4 = """SELECT r.vo_id, l.quantity, l.price, l.status, x.value_str AS context
 
 def _q4(t):
     roots = c.nodes_as(t.nodes, "r", "COMPOSITION")
-    return project_paths(roots, "r", t.nodes, _Q4_PATHS).select("vo_id", "quantity", "price", "status", "context")
+    return project_paths(roots, "r", t.nodes, _Q4_PATHS, blocks=t.blocks).select("vo_id", "quantity", "price", "status", "context")
 
 
 @query("B6_shared_prefix_paths", _Q4)
@@ -301,7 +301,7 @@ def _(t):
         Path("price", (*_TO_TREE, Step("items", name="price")), "magnitude"),
         Path("any_item", (*_TO_TREE, Step("items")), "entity_name"),
     ]
-    return project_paths(_obs(t), "o", t.nodes, paths).select("vo_id", "o_num", "price", "any_item")
+    return project_paths(_obs(t), "o", t.nodes, paths, blocks=t.blocks).select("vo_id", "o_num", "price", "any_item")
 
 
 @query(
@@ -566,5 +566,5 @@ def _(t):
 def _(t):
     found = c.folder_by_path(t.folder_nodes, "/1996")
     folders = found.select(*c.FOLDER, F.col("num").alias("f_num"), F.col("num_cap").alias("f_num_cap"))
-    rows = c.folder_contains(folders, "f", t.folder_nodes, t.folder_items, t.comp_version)
+    rows = c.folder_contains(folders, "f", t.folder_items, t.comp_version)
     return rows.select("folder_ehr_id", "vo_id", "template_name")

@@ -79,6 +79,11 @@ def _plain(left: DataFrame, a: str, right: DataFrame, b: str, key: Sequence[str]
         cond = F.col(f"{b}_citem_num") == F.col(f"{a}_num")
     elif local == "node":
         cond = cond & (F.col(f"{b}_citem_num") == F.col(f"{a}_citem_num"))
+    return join_by_object(left, right, key, cond, how)
+
+
+def join_by_object(left: DataFrame, right: DataFrame, key: Sequence[str], cond: Column, how: str) -> DataFrame:
+    """Join on the object key alone, ``cond`` as residual; both frames otherwise have different columns."""
     other = right.withColumnsRenamed({k: f"_r_{k}" for k in key})
     for k in key:
         cond = cond & (F.col(k) == F.col(f"_r_{k}"))
@@ -175,23 +180,21 @@ def folders_as(folders: DataFrame, alias: str, where: Column | None = None, colu
     return nodes_as(folders, alias, where=where, columns=columns, key=FOLDER)
 
 
-def _self_or_descendants(folders: DataFrame, f: str, all_folders: DataFrame) -> DataFrame:
-    """Pairs of folder ``f`` and every folder ``d`` of its subtree, itself included."""
-    inside = contains(folders, f, folders_as(all_folders, "d"), "d", key=FOLDER)
-    itself = folders.withColumn("d_num", F.col(f"{f}_num"))
-    return itself.unionByName(inside.select(*itself.columns))
+def folder_items(folders: DataFrame, f: str, items: DataFrame) -> DataFrame:
+    """Item ids of folder ``f`` and of all folders below it; an item listed twice comes twice.
 
-
-def folder_items(folders: DataFrame, f: str, all_folders: DataFrame, items: DataFrame) -> DataFrame:
-    """Item ids of folder ``f`` and of all folders below it; an item listed twice comes twice."""
-    subtree = _self_or_descendants(folders, f, all_folders)
-    rows = items.withColumnRenamed("num", "d_num")
-    return rows.join(subtree, [*FOLDER, "d_num"]).drop("d_num")
+    An item carries the number of its folder, so the interval of ``f`` meets the items directly.
+    """
+    num, cap = F.col(f"{f}_num"), F.col(f"{f}_num_cap")
+    spans = folders.withColumn("_block", F.explode(F.sequence(_block(num), _block(cap))))
+    rows = items.withColumnRenamed("num", "_item_folder").withColumn("_block", _block(F.col("_item_folder")))
+    found = spans.join(rows, [*FOLDER, "_block"])
+    return found.filter((F.col("_item_folder") >= num) & (F.col("_item_folder") <= cap)).drop("_block", "_item_folder")
 
 
-def folder_contains(folders: DataFrame, f: str, all_folders: DataFrame, items: DataFrame, versions: DataFrame) -> DataFrame:
+def folder_contains(folders: DataFrame, f: str, items: DataFrame, versions: DataFrame) -> DataFrame:
     """Folder CONTAINS object: objects referenced by items of the folder's subtree, whoever owns them."""
-    found = folder_items(folders, f, all_folders, items)
+    found = folder_items(folders, f, items)
     found = found.withColumnsRenamed({"item_vo_id": "vo_id", "ehr_id": "folder_ehr_id"})
     return versions.join(found, "vo_id")
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recspark.functions.predicates import split_archetype
-from recspark.operators.contains import OBJECT, contains, nodes_as
+from recspark.operators.contains import OBJECT, contains, join_by_object, nodes_as
 from recspark.plans.path_tree import Path, PathNode, Step, path_tree
 
 
@@ -69,11 +69,16 @@ def _residual(step: Step, identity: tuple[str | None, str | None]) -> Column | N
     return None if node_id is None and name is None else node_condition(None, node_id, name)
 
 
-def project_paths(df: DataFrame, root: str, nodes: DataFrame, paths: Sequence[Path], key: Sequence[str] = OBJECT) -> DataFrame:
+def project_paths(
+    df: DataFrame, root: str, nodes: DataFrame, paths: Sequence[Path], key: Sequence[str] = OBJECT, blocks: bool = True
+) -> DataFrame:
     """Add one column per path, read from the structural descendants of node ``root``.
 
     Paths with a common prefix share its node. A path never removes a row; a node on the way that yields no value
     of its own appears only together with the node(s) below it.
+
+    Parent and child are matched on (object, number), which spreads large objects. ``blocks=False``: all joins share
+    the partitioning by object; only where ``objects_fit`` holds.
     """
     paths = list(paths)
     tree = path_tree(paths)
@@ -106,8 +111,12 @@ def project_paths(df: DataFrame, root: str, nodes: DataFrame, paths: Sequence[Pa
     def attach(frame: DataFrame, num: str, child: PathNode, members: list[Path], level: int, how: str):
         mine = set(p.out for p in below(child))
         sub, alias = build(child, [p for p in members if p.out in mine], level + 1)
-        sub = sub.withColumnRenamed(f"{alias}_parent", num)
-        return frame.join(sub, [*key, num], how), f"{alias}_num"
+        if blocks:
+            return frame.join(sub.withColumnRenamed(f"{alias}_parent", num), [*key, num], how), f"{alias}_num"
+        # two bounds instead of an equality, which would become a join key and so another partitioning
+        parent = F.col(f"{alias}_parent")
+        child_of = (F.col(num) >= parent) & (F.col(num) <= parent)
+        return join_by_object(frame, sub, key, child_of, how).drop(f"{alias}_parent"), f"{alias}_num"
 
     result = df
     for child in tree.children:

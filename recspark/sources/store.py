@@ -1,4 +1,8 @@
-"""Node tables on disk: Parquet in hash buckets of the object key, sorted by object and number."""
+"""Node tables on disk, sorted by object and number.
+
+``write_nodes`` writes plain Parquet folders by hash bucket, readable by anything. ``save_nodes_table`` writes a
+bucketed table: joins of its node frames by object need no shuffle at all.
+"""
 
 from __future__ import annotations
 
@@ -20,11 +24,15 @@ def write_nodes(
 ) -> None:
     """Write node rows of many objects in one job.
 
-    One task per bucket, so files stay large; only very large objects are spread over further tasks. Files are
-    sorted by (key, num), so that footer statistics skip row groups of other objects.
+    As many tasks as there are shuffle partitions share the buckets, whole objects each; only very large objects are
+    spread over further tasks. Files are sorted by (key, num), so that footer statistics skip row groups of other
+    objects.
     """
-    rows = nodes.withColumn("bucket", bucket_of(*[F.col(k) for k in key], buckets=buckets))
-    rows = rows.repartition(F.col("bucket"), F.shiftright("num", _PART_BITS))
+    keys = [F.col(k) for k in key]
+    tasks = max(1, int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")) // buckets)
+    part = F.pmod(F.xxhash64(F.lit("part"), *keys), F.lit(tasks))
+    rows = nodes.withColumn("bucket", bucket_of(*keys, buckets=buckets))
+    rows = rows.repartition(F.col("bucket"), part, F.shiftright("num", _PART_BITS))
     rows.sortWithinPartitions("bucket", *key, "num").write.mode(mode).partitionBy("bucket").parquet(path)
 
 
@@ -37,3 +45,16 @@ def read_nodes(spark: SparkSession, path: str, key: Sequence[str] = ("vo_id",),
         lits = [F.lit(i).cast(kind) for i in ids]
         nodes = nodes.filter(F.col(name).isin(lits) & F.col("bucket").isin([bucket_of(x, buckets=buckets) for x in lits]))
     return nodes.drop("bucket")
+
+
+def save_nodes_table(nodes: DataFrame, table: str, path: str, key: Sequence[str] = ("vo_id",), buckets: int = BUCKETS) -> DataFrame:
+    """Write a table bucketed by the object key and read it back.
+
+    For tables whose objects are small (``objects_fit``): one bucket holds whole objects, and joins by object
+    (``blocks=False``) run bucket by bucket.
+    """
+    name, *more = key
+    rows = nodes.repartition(buckets, *key)
+    writer = rows.write.mode("overwrite").bucketBy(buckets, name, *more).sortBy(name, *more, "num")
+    writer.option("path", path).saveAsTable(table)
+    return nodes.sparkSession.table(table)
