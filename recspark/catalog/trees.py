@@ -568,3 +568,40 @@ def _(t):
     folders = found.select(*c.FOLDER, F.col("num").alias("f_num"), F.col("num_cap").alias("f_num_cap"))
     rows = c.folder_contains(folders, "f", t.folder_items, t.comp_version)
     return rows.select("folder_ehr_id", "vo_id", "template_name")
+
+
+@query(
+    "D14_required_chain",
+    """SELECT o.vo_id, o.num AS o_num, x.value_str AS status FROM f_nodes o LEFT JOIN (
+         SELECT h.vo_id, h.parent_num, s.value_str FROM f_nodes h
+         JOIN f_nodes v ON v.vo_id = h.vo_id AND v.parent_num = h.num AND v.entity_attribute = 'events'
+         JOIN f_nodes d ON d.vo_id = v.vo_id AND d.parent_num = v.num AND d.entity_attribute = 'data'
+         JOIN f_nodes k ON k.vo_id = d.vo_id AND k.parent_num = d.num AND k.entity_attribute = 'items' AND k.rm_entity = 'CLUSTER'
+         JOIN f_nodes s ON s.vo_id = k.vo_id AND s.parent_num = k.num AND s.entity_attribute = 'items'
+         WHERE h.entity_attribute = 'data' AND h.rm_entity = 'HISTORY') x ON x.vo_id = o.vo_id AND x.parent_num = o.num
+       WHERE o.rm_entity = 'OBSERVATION'""",
+)
+def _(t):
+    # the nodes on the way appear only together with the value at the end
+    path = Path("status", (*_TO_TREE, Step("items", CLUSTER), Step("items")), "value_str")
+    return project_paths(_obs(t), "o", t.nodes, [path], blocks=t.blocks).select("vo_id", "o_num", "status")
+
+
+@query(
+    "D15_fork",
+    """SELECT d.vo_id, d.num AS d_num, x.returned, x.status FROM f_nodes d LEFT JOIN (
+         SELECT k.vo_id, k.parent_num, s.entity_name AS returned, f.value_str AS status FROM f_nodes k
+         LEFT JOIN f_nodes s ON s.vo_id = k.vo_id AND s.parent_num = k.num AND s.entity_attribute = 'items' AND s.entity_concept = 'at0009'
+         LEFT JOIN f_nodes f ON f.vo_id = k.vo_id AND f.parent_num = k.num AND f.entity_attribute = 'items' AND f.entity_concept = 'at0004'
+         WHERE k.entity_attribute = 'items' AND k.rm_entity = 'CLUSTER' AND (s.num IS NOT NULL OR f.num IS NOT NULL)) x
+         ON x.vo_id = d.vo_id AND x.parent_num = d.num
+       WHERE d.rm_entity = 'ITEM_TREE'""",
+)
+def _(t):
+    # a node without a value of its own and with two children: present if either child is
+    trees = c.nodes_as(t.nodes, "d", "ITEM_TREE")
+    paths = [
+        Path("returned", (Step("items", CLUSTER), Step("items", "at0009")), "entity_name"),
+        Path("status", (Step("items", CLUSTER), Step("items", "at0004")), "value_str"),
+    ]
+    return project_paths(trees, "d", t.nodes, paths, blocks=t.blocks).select("vo_id", "d_num", "returned", "status")
