@@ -121,10 +121,10 @@ def _(t):
 @query(
     "A14_scan_tags",
     """SELECT id, key, value, target_path FROM f_item_tag
-       WHERE ehr_id = 0 AND target_vo_id = 0 AND target_type = 'COMPOSITION' AND key IN ('quality', 'toxic')""",
+       WHERE ehr_id = 7 AND target_vo_id = 7 AND target_type = 'COMPOSITION' AND key IN ('quality', 'toxic')""",
 )
 def _(t):
-    rows = scan.scan_tags(t.item_tag, 0, 0, "COMPOSITION", keys=["quality", "toxic"])
+    rows = scan.scan_tags(t.item_tag, 7, 7, "COMPOSITION", keys=["quality", "toxic"])
     return rows.select("id", "key", "value", "target_path")
 
 

@@ -135,6 +135,7 @@ def _(t):
     class Arriving:
         """Documents made from the arriving texts."""
 
+        spark = t.spark
         table = staticmethod(lambda name: _stream(t, name))
 
     def pattern(nodes):
