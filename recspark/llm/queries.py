@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recspark.llm import line_dedup, minhash, quality_rules
+from recspark.llm import line_dedup, minhash, near_embeddings, quality_rules
 
 QUERIES = {}
 SQL = {}
@@ -31,7 +31,7 @@ W = r"[^\x20\x09-\x0D]+"
     "op7_quality_rules",
     rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{W}') AS w FROM documents),
-l AS (SELECT doc_id, list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '{W}')) AS lines, t, w FROM d),
+l AS (SELECT doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{W}')) AS lines, t, w FROM d),
 p AS (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d),
 g AS (SELECT doc_id, i, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c FROM p),
 r AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, a, b, c) AS n FROM g) WHERE n > 1),
@@ -62,13 +62,31 @@ KEY = r"regexp_replace(translate(regexp_replace(regexp_replace(line, '^[\x20\x09
     "op10_line_dedup",
     rf"""
 WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
-l AS (SELECT doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS at FROM d),
-k AS (SELECT doc_id, line, at, {KEY} AS key FROM l),
+l AS (SELECT doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS pos FROM d),
+k AS (SELECT doc_id, line, pos, {KEY} AS key FROM l),
 f AS (SELECT key, min(doc_id) AS first FROM k WHERE length(key) >= 10 GROUP BY key HAVING min(doc_id) < max(doc_id)),
-m AS (SELECT k.doc_id, line, at, (first IS NOT NULL AND first < k.doc_id) AS gone FROM k LEFT JOIN f ON f.key = k.key)
+m AS (SELECT k.doc_id, line, pos, (first IS NOT NULL AND first < k.doc_id) AS gone FROM k LEFT JOIN f ON f.key = k.key)
 SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN gone THEN 1 ELSE 0 END) AS BIGINT) AS n_dropped,
-       sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE NOT gone), '')) AS kept_sha256
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM m GROUP BY doc_id""",
 )
 def lines(spark, sf_dir):
     return line_dedup.line_dedup_report(table(spark, sf_dir, "documents"))
+
+
+@register(
+    "op1_near_embeddings",
+    """
+WITH RECURSIVE v AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings WHERE label IS NOT NULL),
+n AS (SELECT vec_id, label, e, sqrt(list_inner_product(e, e)) AS s FROM v),
+l AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM n x JOIN n y ON x.label = y.label AND x.vec_id <> y.vec_id
+  WHERE list_inner_product(x.e, y.e) / x.s / y.s >= 0.98),
+r AS (SELECT vec_id AS a, vec_id AS c FROM embeddings UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.a),
+m AS (SELECT a, min(c) AS component_id FROM r GROUP BY a),
+k AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
+SELECT vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN m ON m.a = vec_id LEFT JOIN k ON k.a = vec_id""",
+)
+def near_embeddings_query(spark, sf_dir):
+    return near_embeddings.near_vectors(table(spark, sf_dir, "embeddings"))
