@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recspark.llm import line_dedup, minhash, near_embeddings, quality_rules
+from recspark.llm import line_dedup, lm_scoring, minhash, near_embeddings, packing, quality_rules, token_counts
 
 QUERIES = {}
 SQL = {}
@@ -90,3 +90,18 @@ FROM embeddings JOIN m ON m.a = vec_id LEFT JOIN k ON k.a = vec_id""",
 )
 def near_embeddings_query(spark, sf_dir):
     return near_embeddings.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@register("op5_lm_scoring")
+def lm(spark, sf_dir):
+    return lm_scoring.lm_scores(table(spark, sf_dir, "documents"))
+
+
+@register("op6_packing")
+def packed(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@register("op9_token_counts")
+def tokens(spark, sf_dir):
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))
