@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recspark.llm import line_dedup, lm_scoring, minhash, near_embeddings, packing, quality_rules, token_counts
+from recspark.llm import license_scan, line_dedup, lm_scoring, minhash, mixing, near_embeddings, packing, quality_rules, token_counts, warc
 
 QUERIES = {}
 SQL = {}
@@ -105,3 +105,27 @@ def packed(spark, sf_dir):
 @register("op9_token_counts")
 def tokens(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
+@register("op2_license_scan")
+def licenses(spark, sf_dir):
+    return license_scan.license_scan(table(spark, sf_dir, "documents"))
+
+
+@register("op3_mixing")
+def mixed(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("row")
+
+
+@register(
+    "op4_warc",
+    """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, sha256(html) AS payload_digest FROM p),
+f AS (SELECT d.*, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM d)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 100 AND first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND first < page_id THEN first END AS refers_to
+FROM f""",
+)
+def archives(spark, sf_dir):
+    return warc.archive_report(table(spark, sf_dir, "pages"))
