@@ -26,6 +26,18 @@ TEMPLATES = {
     "cc-by-sa": ("this work is licensed under a creative commons attribution sharealike 4 0 international license", ["attribution sharealike"]),
 }
 
+# Short notices, by the label they give.
+NOTICES = [
+    ("apache-2.0", "licensed under the apache license version 2 0", ["apache license"]),
+    ("mit", "released under the mit license", ["mit license"]),
+    ("mit", "licensed under the mit license", ["mit license"]),
+    ("gpl", "licensed under the gnu general public license version 3", ["general public license"]),
+    ("cc-by-nc", "licensed under cc by nc 4 0", ["cc by nc"]),
+    ("cc-by-sa", "licensed under cc by sa 4 0", ["cc by sa"]),
+    ("bsd", "released under the bsd license", ["bsd license"]),
+    ("mpl-2.0", "licensed under the mozilla public license version 2 0", ["mozilla public license"]),
+]
+
 SHARE = 0.6  # of a template's weight that a match must hold
 SLACK = 3  # words inserted or left out that a match may shift by
 
@@ -46,18 +58,21 @@ class Index:
 
     def __init__(self, weights: dict[str, float]):
         self.weights = {w.encode(): x for w, x in weights.items()}
-        self.templates = {name: _split(t) for name, (t, _) in TEMPLATES.items()}
-        self.phrases = {name: [_split(p) for p in keys] for name, (_, keys) in TEMPLATES.items()}
+        known = [(label, t, keys) for label, (t, keys) in TEMPLATES.items()] + NOTICES
+        self.labels = [label for label, _, _ in known]
+        self.templates = [_split(t) for _, t, _ in known]
+        self.phrases = [[_split(p) for p in keys] for _, _, keys in known]
         self.base = [(_split(p), label) for p, label in BASE.items()]
-        self.vocabulary = {w for t in self.templates.values() for w in t} | {w for p, _ in self.base for w in p}
-        ranked = sorted(self.weights.values())
-        floor = ranked[len(ranked) // 2] if ranked else 0.0
+        self.vocabulary = {w for t in self.templates for w in t} | {w for p, _ in self.base for w in p}
         self.postings = defaultdict(list)
-        for name, t in self.templates.items():
+        for name, t in enumerate(self.templates):
+            # the rarer half of each template's words, so that a licence found everywhere has entries too
+            ranked = sorted(set(t), key=lambda w: (-self.weights.get(w, 0.0), w))
+            rare = set(ranked[: -(-len(ranked) // 2)])
             for at, w in enumerate(t):
-                self.postings[w].append((name, at))
-        self.rare = {w for w in self.postings if self.weights.get(w, 0.0) >= floor}  # the rarer half
-        self.total = {name: sum(self.weights.get(w, 0.0) for w in t) for name, t in self.templates.items()}
+                if w in rare:
+                    self.postings[w].append((name, at))
+        self.total = [sum(self.weights.get(w, 0.0) for w in t) for t in self.templates]
 
     def scan(self, ws: list[bytes]) -> tuple[int, int | None, int | None, str, str, float]:
         at = [i for i, w in enumerate(ws) if w in self.vocabulary]
@@ -70,21 +85,21 @@ class Index:
         score = 1.0 if places else 0.0
         votes = defaultdict(Counter)
         for i in at:
-            if ws[i] in self.rare:
-                for name, pos in self.postings[ws[i]]:
-                    votes[name][i - pos] += 1
+            for name, pos in self.postings.get(ws[i], ()):
+                votes[name][i - pos] += 1
         for name, offsets in votes.items():
             template = self.templates[name]
-            for offset in sorted(offsets, key=lambda o: (-offsets[o], o)):
+            near = {o: sum(offsets.get(x, 0) for x in range(o - SLACK, o + SLACK + 1)) for o in offsets}
+            for offset in sorted(near, key=lambda o: (-near[o], -offsets[o], o)):
+                if near[offset] < 2:
+                    break  # one word alone in place
                 window = ws[max(offset - SLACK, 0) : max(offset, 0) + len(template) + SLACK]
                 held = sum(self.weights.get(w, 0.0) for pos, w in enumerate(template) if w in ws[max(offset + pos - SLACK, 0) : max(offset + pos + SLACK + 1, 0)])
                 share = held / self.total[name] if self.total[name] else 0.0
                 if share >= SHARE and all(self._holds(window, p) for p in self.phrases[name]):
-                    labels.add(name)
+                    labels.add(self.labels[name])
                     score = max(score, min(share, 1.0))
                     break
-                if offsets[offset] < 2:
-                    break  # the others have one word in place
         return len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)), ",".join(sorted(base | labels)), score
 
     @staticmethod
@@ -93,7 +108,7 @@ class Index:
 
 
 def vocabulary() -> set[str]:
-    return {w for t, _ in TEMPLATES.values() for w in t.split()}
+    return {w for t in [*(t for t, _ in TEMPLATES.values()), *(t for _, t, _ in NOTICES)] for w in t.split()}
 
 
 def _frequencies(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

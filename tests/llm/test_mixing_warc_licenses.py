@@ -96,6 +96,7 @@ def test_licenses(spark, docs, rows):
     apache = license_scan.TEMPLATES["apache-2.0"][0]
     more = [(80_000, "intro " * 300 + text.upper().replace(" ", ", "), "", "", 1), (80_001, "CC-BY and CC. BY; all rights reserved", "", "", 1), (80_002, text.replace("free of charge", "gratis, free") + " " + apache, "", "", 1)]
     more += [(80_003, "This software is a copy of the files and documentation of any person", "", "", 1)]
+    more += [(80_004, "Released under the MIT License.", "", "", 1), (80_005, "Released under the old gym rules; a license to sing.", "", "", 1)]
     out = license_scan.license_scan(docs.union(spark.createDataFrame(more, SCHEMA)).withColumn("n_words", F.lit(1))).collect()
     word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     expected = []
@@ -107,4 +108,5 @@ def test_licenses(spark, docs, rows):
     assert sorted(repr(tuple(r)[:6]) for r in out) == sorted(map(repr, expected))
     labels = {r.doc_id: r.labels for r in out}
     assert labels[80_000] == "mit" and labels[80_001] == "cc-by,reserved" and labels[80_002] == "apache-2.0,mit" and labels[80_003] == ""
+    assert labels[80_004] == "mit" and labels[80_005] == ""
     assert all(0 <= r.score <= 1 and set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(",")) for r in out)
