@@ -8,7 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recspark.llm.text import WHITE, fresh, windows, words
+from recspark.llm.text import WHITE, windows, words
 
 SAMPLE_ROWS = 1000  # rows expected in the sample that costs and selectivities are measured on
 MIN_WORDS = 50
@@ -122,10 +122,9 @@ def quality_filter(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that pass all rules, with their columns. A null or empty text has no words and fails."""
     slim = docs.select(F.col(text).alias("_text"))
     order = order_rules(with_words(sample_of(slim), "_text"), default_rules(F.col("_text"), F.col("_words")))
-    name = fresh(docs, "_words")
-    tagged = docs.withColumn(name, words(F.col(text)))
-    failed = cascade(default_rules(F.col(text), F.col(name)), order)
-    return tagged.where(failed.isNull()).drop(name)
+    # a one-element array binds the words once; a column of their own would be put into every rule when the filter is pushed down
+    failed = F.transform(F.array(words(F.col(text))), lambda ws: cascade(default_rules(F.col(text), ws), order))[0]
+    return docs.where(failed.isNull())
 
 
 def quality_counts(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:

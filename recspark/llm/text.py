@@ -26,11 +26,3 @@ def windows(items: Column, width: int) -> Column:
     """Structs of ``width`` neighbouring items each; none if there are fewer."""
     n = F.greatest(F.size(items) - (width - 1), F.lit(0))
     return F.arrays_zip(*[F.slice(items, i + 1, n).alias(f"w{i}") for i in range(width)])
-
-
-def fresh(df, name: str) -> str:
-    """A column name that ``df`` does not have yet."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name += "_"
-    return name
