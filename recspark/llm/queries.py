@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recspark.llm import license_scan, line_dedup, lm_scoring, minhash, mixing, near_embeddings, packing, quality_rules, token_counts, warc
+from recspark.llm import (
+    graph_search, license_scan, line_dedup, lm_scoring, merkle, minhash, mixing, near_embeddings, packing, quality_rules, resampling, token_counts, warc,
+)
 
 QUERIES = {}
 SQL = {}
@@ -129,3 +131,98 @@ FROM f""",
 )
 def archives(spark, sf_dir):
     return warc.archive_report(table(spark, sf_dir, "pages"))
+
+
+# the CRC-32 of a text's bytes: the table of the reflected polynomial, then byte by byte
+_CRC = """bits(n, c, k) AS (
+  SELECT CAST(x AS BIGINT), CAST(x AS BIGINT), 0 FROM range(256) AS v(x)
+  UNION ALL SELECT n, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8),
+crc_table AS MATERIALIZED (SELECT list(c ORDER BY n) AS t FROM bits WHERE k = 8)"""
+
+
+def _crc(value: str) -> str:
+    """CRC-32 of a text, in a query that has ``crc_table`` in scope."""
+    byte = f"CAST('0x' || substr(hex(encode({value})), CAST(2 * i + 1 AS INT), 2) AS BIGINT)"
+    byte_list = f"list_transform(range(0, octet_length(encode({value}))), lambda i: {byte})"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {byte_list}), lambda c, x: xor(c >> 8, t[CAST((xor(c, x) & 255) + 1 AS INT)])), 4294967295)"
+
+
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@register(
+    "op11_resampling",
+    rf"""
+WITH RECURSIVE {_CRC},
+d AS (SELECT doc_id, unnest({_WORDS}) AS w FROM documents),
+b AS (SELECT unnest({_WORDS}) AS w FROM benchmark),
+n AS MATERIALIZED (SELECT doc_id, w, count(*) AS n FROM d GROUP BY doc_id, w),
+f AS MATERIALIZED (SELECT w, {_crc("w")} % 10000 AS k FROM (SELECT w FROM n UNION SELECT w FROM b), crc_table),
+s AS (SELECT k, sum(n) AS s FROM n JOIN f USING (w) GROUP BY k),
+t AS (SELECT k, count(*) AS t FROM b JOIN f USING (w) GROUP BY k),
+g AS (
+  SELECT k, floor(1000 * ln(CAST(coalesce(t, 0) + 1 AS DOUBLE) * ((SELECT sum(n) FROM n) + 10000)
+                            / (CAST(coalesce(s, 0) + 1 AS DOUBLE) * ((SELECT count(*) FROM b) + 10000)))) AS gain
+  FROM s FULL JOIN t USING (k)),
+v AS (SELECT doc_id, CAST(sum(n) AS BIGINT) AS n_features, CAST(floor(sum(n * gain) / sum(n)) AS BIGINT) AS weight FROM n JOIN f USING (w) JOIN g USING (k) GROUP BY doc_id),
+h AS (SELECT doc_id, CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) AS h FROM documents),
+x AS (
+  SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+  FROM h LEFT JOIN v USING (doc_id)),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, 10 * count(*) OVER () // 100 AS quota FROM x WHERE n_features >= 20)
+SELECT x.doc_id, n_features, weight, score, CASE WHEN rank <= quota THEN rank END AS rank FROM x LEFT JOIN r ON r.doc_id = x.doc_id""",
+)
+def resampled(spark, sf_dir):
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op12_graph_search")
+def nearest(spark, sf_dir):
+    return graph_search.nearest_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def _leaf(text: str) -> str:
+    fields = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+    return "sha256(" + " || ".join(f"coalesce(octet_length(encode({f})) || ':' || {f}, '-')" for f in fields) + ")"
+
+
+def _tree(name: str, leaves: str) -> str:
+    """CTEs of a hash tree per ``grp``: every node of every level (``{name}``) from ``leaves`` (grp, i, h)."""
+    return f"""{name}(grp, level, i, h, many) AS (
+  SELECT grp, 0, i, h, count(*) OVER (PARTITION BY grp) FROM {leaves}
+  UNION ALL
+  SELECT grp, level + 1, i // 8, sha256(string_agg(h, '' ORDER BY i)), (any_value(many) + 7) // 8 FROM {name} WHERE many > 1 GROUP BY grp, level, i // 8),
+{name}_run AS MATERIALIZED (
+  SELECT a.grp, a.level, a.i, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (WHERE b.i < a.i), '') AS l, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (WHERE b.i > a.i), '') AS r
+  FROM {name} a JOIN {name} b ON b.grp = a.grp AND b.level = a.level AND b.i // 8 = a.i // 8 WHERE a.many > 1 GROUP BY a.grp, a.level, a.i)"""
+
+
+@register(
+    "op13_merkle",
+    rf"""
+WITH RECURSIVE {_CRC},
+docs AS MATERIALIZED (
+  SELECT doc_id, coalesce('1' || lang, '0') AS grp, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS i, {_leaf("text")} AS h,
+         CASE WHEN {_crc("CAST(doc_id AS VARCHAR)")} % 3 = 0 THEN {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS other
+  FROM documents, crc_table),
+{_tree("low", "docs")},
+langs AS MATERIALIZED (SELECT 'all' AS grp, grp AS lang, row_number() OVER (ORDER BY encode(grp)) - 1 AS i, h FROM low WHERE many = 1),
+{_tree("high", "langs")},
+walk(doc_id, lang, high, level, i, folded, proof) AS (
+  SELECT doc_id, grp, false, 0, i, coalesce(other, h), '' FROM docs
+  UNION ALL
+  SELECT w.doc_id, w.lang, w.high OR x.level IS NULL, CASE WHEN x.level IS NULL AND NOT w.high THEN 0 ELSE w.level + 1 END,
+         CASE WHEN x.level IS NOT NULL THEN w.i // 8 ELSE g.i END,
+         CASE WHEN x.level IS NOT NULL THEN sha256(x.l || w.folded || x.r) ELSE w.folded END, w.proof || coalesce(x.l || x.r, '')
+  FROM walk w
+  LEFT JOIN (SELECT grp, level, i, l, r, false AS high FROM low_run UNION ALL SELECT grp, level, i, l, r, true FROM high_run) x
+    ON x.high = w.high AND x.grp = CASE WHEN w.high THEN 'all' ELSE w.lang END AND x.level = w.level AND x.i = w.i
+  JOIN langs g ON g.lang = w.lang
+  WHERE x.level IS NOT NULL OR NOT w.high),
+ends AS (SELECT doc_id, max_by(folded, len(proof) * 1000 + level + CASE WHEN high THEN 500 ELSE 0 END) AS folded_root, max_by(proof, len(proof)) AS proof FROM walk GROUP BY doc_id)
+SELECT d.doc_id, d.h AS leaf, g.h AS subroot, t.h AS root, sha256(proof) AS proof_sha256, folded_root, folded_root = t.h AS verified
+FROM docs d JOIN ends ON ends.doc_id = d.doc_id JOIN langs g ON g.lang = d.grp JOIN (SELECT h FROM high WHERE many = 1) t ON true""",
+)
+def manifest(spark, sf_dir):
+    return merkle.manifest_report(table(spark, sf_dir, "documents"))
