@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recspark.llm.shared import as_id
+
 # Phrases that give a label by themselves.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
@@ -117,7 +119,8 @@ def _frequencies(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for text in frame["text"]:
             if text is not None:
                 seen.update(known & set(words(text)))
-    yield pd.DataFrame({"word": [w.decode() for w in seen], "n": list(seen.values())})
+    if seen:  # pandas has no type for an empty column of texts
+        yield pd.DataFrame({"word": [w.decode() for w in seen], "n": list(seen.values())})
 
 
 def word_weights(docs: DataFrame, text: str = "text") -> dict[str, float]:
@@ -133,7 +136,7 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
 
     One pass counts in how many texts each licence word stands; a second one looks up every text's rare licence words in
     the index, adds up relative positions, and verifies the best ones by share of weight and by key phrases. A null text
-    is empty. Texts stay where they are.
+    is empty. Texts stay where they are. Ids are handed through as they are; repeated rows have a row each.
     """
     weights = word_weights(docs, text)
 
@@ -149,4 +152,4 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
 
     base = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text).alias("text"))
     schema = "doc_id string, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"
-    return base.mapInPandas(work, schema).withColumn("doc_id", F.col("doc_id").cast("long"))
+    return base.mapInPandas(work, schema).withColumn("doc_id", as_id(docs, id_col, "doc_id"))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recspark.llm import hashstore
-from recspark.llm.shared import mounted, run_dir, written
+from recspark.llm.shared import as_id, mounted, run_dir, written
 from recspark.llm.spans import chunks, mix, unmix, word_hashes
 
 END = np.uint64(0x5EED0FE0D0C5E17D)  # the end token's place among the word hashes
@@ -247,4 +247,4 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Da
     base = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text).alias("text"), held_out(id_col).alias("held_out"))
     model = train(base.where("NOT held_out"))
     out = base.mapInPandas(_score(model), "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
-    return out.withColumn("doc_id", F.col("doc_id").cast("long"))
+    return out.withColumn("doc_id", as_id(docs, id_col, "doc_id"))

@@ -6,7 +6,8 @@ import os
 import uuid
 from urllib.parse import urlparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from recspark.plans.stable import shared_dir
 
@@ -23,6 +24,11 @@ def written(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def as_id(docs: DataFrame, id_col: str, out: str) -> Column:
+    """The id in column ``out`` (a text in the workers: pandas has no null among integers) as the type it has in ``docs``."""
+    return F.col(out).cast(docs.schema[id_col].dataType)
+
+
 def mounted(folder: str) -> str:
     """The path under which workers can open files of the shared folder."""
     url = urlparse(folder)

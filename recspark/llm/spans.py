@@ -89,7 +89,7 @@ class PreTokens:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.path, self.tokenizer = path, Tokenizer.from_file(path)
         self.cut = self.tokenizer.pre_tokenizer.pre_tokenize_str
         added = sorted((t.content for t in self.tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
         self.added = re.compile("|".join(map(re.escape, added))) if added else None

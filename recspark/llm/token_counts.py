@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recspark.llm import hashstore
-from recspark.llm.shared import mounted, run_dir, written
+from recspark.llm.shared import as_id, mounted, run_dir, written
 from recspark.llm.spans import chunks, pretokens, span_hashes
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -34,7 +34,8 @@ def _distinct(path: str):
             new = np.ones(len(keys), bool) if not len(seen) else seen[np.minimum(at, len(seen) - 1)] != keys
             keys, first = keys[new], first[new]
             seen = np.sort(np.concatenate([seen if len(seen) < SEEN else seen[:0], keys]))
-            yield pd.DataFrame({"key": keys.view(np.int64), "piece": [joined[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]})
+            if len(keys):  # pandas has no type for an empty column of texts
+                yield pd.DataFrame({"key": keys.view(np.int64), "piece": [joined[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]})
 
     return work
 
@@ -68,6 +69,8 @@ def _totals(path: str, folder: str, bits: int):
 def token_counts(docs: DataFrame, id_col: str = "doc_id", text: str = "text", tokenizer: str | None = None, limit: int = LIMIT) -> DataFrame:
     """Per row of ``docs``: doc_id, n_bytes, n_tokens, over_limit; a null text is empty and has no tokens.
 
+    Ids are handed through as they are, null, repeated or of any type; repeated rows have a row each.
+
     Texts are cut into pre-tokens without making ids. Distinct pre-tokens (by 64-bit hash) are shuffled once, cut into
     pieces by the library once each and stored as sorted hash arrays; the frequencies of every text are joined with
     these arrays where the text is, so nothing per text is shuffled. Only an order of distinct pre-tokens is written.
@@ -81,5 +84,5 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text: str = "text", to
     held = f"{mounted(folder)}/store"
     hashstore.write_rows(pieces, "key", ["n"], held, bits)
     out = base.mapInPandas(_totals(path, held, bits), "doc_id string, n_bytes long, n_tokens long")
-    out = out.withColumn("doc_id", F.col("doc_id").cast("long"))  # a text in the workers: pandas has no null among integers
+    out = out.withColumn("doc_id", as_id(docs, id_col, "doc_id"))
     return out.withColumn("over_limit", F.col("n_tokens") > limit)
