@@ -36,6 +36,13 @@ def usable(vector: Column) -> Column:
     return F.coalesce(vector.isNotNull() & (F.size(vector) > 0) & fine & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
+def scaled(vector: Column) -> Column:
+    """The vector times a power of two, which is exact, so that its largest component is about 1: no product overflows."""
+    largest = F.aggregate(vector, F.lit(0.0), lambda m, v: F.greatest(m, F.abs(v)))
+    factor = F.pow(F.lit(2.0), -F.greatest(F.lit(-1000), F.least(F.floor(F.log2(largest)), F.lit(1000))).cast("double"))
+    return F.transform(F.array(F.struct(vector.alias("v"), factor.alias("f"))), lambda x: F.transform(x["v"], lambda v: v * x["f"]))[0]
+
+
 def _cells(cosine: float):
     """Every vector in every block: its home cell and the cells within the block's radius, with its coordinates there."""
     budget = 2 - 2 * cosine + SLACK
@@ -102,6 +109,7 @@ def near_vectors(df: DataFrame, id_col: str = "vec_id", vector: str = "embedding
     base = base.withColumn("use", usable(F.col("vector")) & F.col("label").isNotNull() & F.col("vec_id").isNotNull())
     base = written(base.withColumn("h1", F.xxhash64("label", "vector")).withColumn("h2", F.xxhash64(F.lit(1), "label", "vector")), folder, "rows")
     classes = base.where("use").groupBy("h1", "h2").agg(F.min("vec_id").alias("least"), F.count("*").alias("n"), F.any_value("label").alias("label"), F.any_value("vector").alias("vector"))
+    classes = classes.withColumn("vector", scaled(F.col("vector")))
     # an id of the class, as one vec_id may stand in several rows
     classes = written(classes.withColumn("id", F.xxhash64("h1", "h2")).withColumn("dims", F.size("vector")), folder, "classes")
     cells = classes.select("id", "label", "dims", "vector").mapInPandas(_cells(cosine), "label string, dims int, block int, cell binary, id long, home boolean, at array<double>")
@@ -129,6 +137,8 @@ def near_vectors(df: DataFrame, id_col: str = "vec_id", vector: str = "embedding
 
 
 def cosine_of(x: Column, y: Column) -> Column:
+    """Cosine of two scaled vectors."""
+
     def dot(p: Column, q: Column) -> Column:
         return F.aggregate(F.zip_with(p, q, lambda i, j: i * j), F.lit(0.0), lambda s, v: s + v)
 

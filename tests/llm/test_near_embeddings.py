@@ -51,3 +51,14 @@ def test_all_pairs(spark, tile, monkeypatch):
 
 def test_empty(spark):
     assert ne.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
+
+
+@pytest.mark.parametrize("size", [1e200, 1e-200, 1e-310])
+def test_extreme_lengths(spark, size):
+    """Links do not depend on the length of the vectors."""
+    rng = np.random.default_rng(2)
+    x = rng.standard_normal((1, 16)) + rng.standard_normal((120, 16)) * rng.uniform(0.05, 0.4, (120, 1))
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(x)]
+    df = spark.createDataFrame([(i, (np.array(v) * size).tolist(), l) for i, v, l in rows], "vec_id long, embedding array<double>, label int")
+    got = sorted(tuple(r)[:2] for r in ne.near_vectors(df).collect())
+    assert got == [r[:2] for r in expected(rows)]
