@@ -29,6 +29,7 @@ def odd_documents(first=10_000):
         line + "\n" + "\n".join(f"line number {i} of this text" for i in range(50)), "'s 't it's we'll  <|endoftext|> 中文 字 1234 ½ ٣", "MIT License cc by",
     ]
     rows = [(first + i, t, "en", f"s{i % 3}" if i % 5 else None, None) for i, t in enumerate(texts)]
+    rows += [(first + 9, f"{line} again, with other words {i} at its end " * 3, "en", "s1", None) for i in range(3)]  # texts of one id
     return rows + [rows[8], rows[8], (None, line, None, None, None), (None, None, None, None, None), (first + 100, line.strip(), "en", "s0", 1), (first + 101, line.strip(), "en", "s0", 1)]
 
 
