@@ -96,11 +96,14 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url:
     """
     spark = pages.sparkSession
     target = mounted(folder)
-    base = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), F.coalesce(F.col(html).cast("string"), F.lit("")).alias("html"))
+    base = pages.select(F.col(id_col).alias("page_id"), F.col(url).cast("string").alias("url"), F.coalesce(F.col(html).cast("string"), F.lit("")).alias("html"))
     tagged = base.withColumn("digest", F.when((F.octet_length("html") >= LEAST_BYTES) & F.col("page_id").isNotNull(), F.sha2("html", 256)))
     groups = tagged.where("digest IS NOT NULL").groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1")
     groups = written(groups.select(F.col("digest").alias("of"), "first"), folder, "equal-payloads")
-    some = base.orderBy(F.xxhash64("page_id"), "page_id").limit(SAMPLES).select("page_id", "url", F.substring("html", 1, SAMPLE_CHARS).alias("html")).collect()
+    # about twice as many short rows as wanted pass the filter, however many partitions there are
+    place = F.pmod(F.xxhash64("page_id"), F.lit(1 << 40))
+    short = base.select("page_id", "url", F.substring("html", 1, SAMPLE_CHARS).alias("html"), place.alias("place"))
+    some = short.where(F.col("place") <= (1 << 40) * 2 * SAMPLES // max(base.count(), 1)).orderBy("place", "page_id").limit(SAMPLES).collect()
     trained = dictionary([record(str(r.page_id), r.url, r.html.encode(), None) for r in some])
     rows = tagged.join(groups, F.col("digest") == F.col("of"), "left")
     rows = rows.select(F.col("page_id").cast("string").alias("page_id"), "url", "html", F.when(F.col("first") < F.col("page_id"), F.col("first")).cast("string").alias("refers_to"))
@@ -123,7 +126,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url:
     return written(rows.mapInPandas(work, "path string, records long"), folder, "archives")
 
 
-def read_archives(archives: DataFrame) -> DataFrame:
+def read_archives(archives: DataFrame, id_type: str = "long") -> DataFrame:
     """Per record of the files in column ``path``: page_id, payload_bytes, payload_digest, record_type, refers_to."""
 
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -140,8 +143,9 @@ def read_archives(archives: DataFrame) -> DataFrame:
 
     names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     rows = archives.select("path").repartition(F.col("path")).mapInPandas(work, "page_id string, payload_bytes long, payload_digest string, record_type string, refers_to string")
-    return rows.withColumn("page_id", F.col("page_id").cast("long")).withColumn("refers_to", F.col("refers_to").cast("long"))
+    return rows.withColumns({c: F.col(c).cast(id_type) for c in ("page_id", "refers_to")})
 
 
 def archive_report(pages: DataFrame, id_col: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    return read_archives(write_archives(pages, run_dir(pages.sparkSession, "warc"), id_col, url, html))
+    made = write_archives(pages, run_dir(pages.sparkSession, "warc"), id_col, url, html)
+    return read_archives(made, pages.schema[id_col].dataType.simpleString())
