@@ -6,6 +6,6 @@ import recspark.catalog.reports
 import recspark.catalog.history
 import recspark.catalog.documents
 import recspark.catalog.streams  # noqa: F401
-from recspark.catalog.base import QUERIES, SQL
+from recspark.catalog.base import QUERIES, SQL, cheapest_first
 
-__all__ = ["QUERIES", "SQL"]
+__all__ = ["QUERIES", "SQL", "cheapest_first"]

@@ -160,6 +160,11 @@ SELECT namespace, name, semver, CAST(min(k) AS VARCHAR) AS text FROM d GROUP BY
 }
 
 
+def cheapest_first(names) -> list[str]:
+    """Query names by how often their SQL twin reads the node frame, the largest one."""
+    return sorted(names, key=lambda n: len(re.findall(r"\b(?:FROM|JOIN) f_nodes\b", SQL.get(n, "").split("-- frames end")[-1])))
+
+
 def frame(name: str, sql: str) -> None:
     FRAMES[name] = sql
 
@@ -177,8 +182,9 @@ def with_frames(sql: str) -> str:
     visit(sql)
     if not order:
         return sql.strip()
-    ctes = ",\n".join(f"{n} AS ({FRAMES[n].strip()})" for n in order)
+    # the node frame is wide and used more than once: made once, whatever the optimizer thinks of it
+    ctes = ",\n".join(f"{n} AS {'MATERIALIZED ' if n == 'f_nodes' else ''}({FRAMES[n].strip()})" for n in order)
     body = sql.strip()
     if body[:5].upper() == "WITH ":
-        return f"WITH {ctes},\n{body[5:]}"
-    return f"WITH {ctes}\n{body}"
+        return f"WITH {ctes},\n-- frames end\n{body[5:]}"
+    return f"WITH {ctes}\n-- frames end\n{body}"

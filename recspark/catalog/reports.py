@@ -147,7 +147,7 @@ def _(t):
 @query(
     "E16_array_agg_nodes",
     """SELECT k.vo_id, k.num AS k_num, string_agg(n.num || ':' || n.rm_entity, ',' ORDER BY n.num) AS nodes
-       FROM f_nodes k JOIN f_nodes n ON n.vo_id = k.vo_id AND n.num > k.num AND n.num <= k.num_cap
+       FROM f_nodes k JOIN f_nodes n ON n.vo_id = k.vo_id AND n.num - k.num BETWEEN 1 AND k.num_cap - k.num
        WHERE k.rm_entity = 'CLUSTER' GROUP BY k.vo_id, k.num""",
 )
 def _(t):

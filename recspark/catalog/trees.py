@@ -50,7 +50,7 @@ def _(t):
 
 
 _CONTAINS = """SELECT o.vo_id, o.num AS o_num, e.num AS e_num, e.magnitude AS e_magnitude
- FROM f_nodes o JOIN f_nodes e ON e.vo_id = o.vo_id AND e.num > o.num AND e.num <= o.num_cap
+ FROM f_nodes o JOIN f_nodes e ON e.vo_id = o.vo_id AND e.num - o.num BETWEEN 1 AND o.num_cap - o.num
  WHERE o.rm_entity = 'OBSERVATION' AND e.rm_entity = 'ELEMENT' AND e.entity_concept = 'at0004'"""
 
 
@@ -82,7 +82,7 @@ def _(t):
 @query(
     "D5_contains_node_local",
     """SELECT h.vo_id, h.num AS h_num, e.num AS e_num FROM f_nodes h JOIN f_nodes e
-         ON e.vo_id = h.vo_id AND e.citem_num = h.citem_num AND e.num > h.num AND e.num <= h.num_cap
+         ON e.vo_id = h.vo_id AND e.citem_num = h.citem_num AND e.num - h.num BETWEEN 1 AND h.num_cap - h.num
        WHERE h.rm_entity = 'POINT_EVENT' AND e.rm_entity = 'ELEMENT'""",
 )
 def _(t):
@@ -90,7 +90,7 @@ def _(t):
     return c.contains(events, "h", c.nodes_as(t.nodes, "e", "ELEMENT"), "e", local="node").select("vo_id", "h_num", "e_num")
 
 
-_A = "{b}.vo_id = o.vo_id AND {b}.num > o.num AND {b}.num <= o.num_cap"
+_A = "{b}.vo_id = o.vo_id AND {b}.num - o.num BETWEEN 1 AND o.num_cap - o.num"
 
 
 @query(
@@ -126,7 +126,7 @@ def _(t):
     "D8_contains_any_chain",
     f"""WITH chain AS (
           SELECT k.vo_id, k.num, d.num AS d_num FROM f_nodes k JOIN f_nodes d
-            ON d.vo_id = k.vo_id AND d.num > k.num AND d.num <= k.num_cap
+            ON d.vo_id = k.vo_id AND d.num - k.num BETWEEN 1 AND k.num_cap - k.num
           WHERE k.rm_entity = 'CLUSTER' AND d.rm_entity = 'ELEMENT' AND d.value_str = 'F')
         SELECT o.vo_id, o.num AS o_num, k.num AS k_num, k.d_num, e.num AS e_num FROM f_nodes o
         LEFT JOIN chain k ON {_A.format(b='k')}
@@ -143,7 +143,7 @@ def _(t):
 @query(
     "D9_folder_contains_folder",
     """SELECT a.ehr_id, a.folder_idx, a.num AS a_num, b.num AS b_num, b.entity_name AS b_entity_name FROM f_folder_nodes a JOIN f_folder_nodes b
-       ON b.ehr_id = a.ehr_id AND b.folder_idx = a.folder_idx AND b.num > a.num AND b.num <= a.num_cap""",
+       ON b.ehr_id = a.ehr_id AND b.folder_idx = a.folder_idx AND b.num - a.num BETWEEN 1 AND a.num_cap - a.num""",
 )
 def _(t):
     a, b = c.folders_as(t.folder_nodes, "a"), c.folders_as(t.folder_nodes, "b", columns=["entity_name"])
@@ -328,7 +328,7 @@ def _(t):
 @query(
     "B11_anchor_skip_node",
     """SELECT h.vo_id, h.num AS h_num, e.num AS e_num FROM f_nodes h LEFT JOIN f_nodes e
-         ON e.vo_id = h.vo_id AND e.citem_num = h.citem_num AND e.num > h.num AND e.num <= h.num_cap
+         ON e.vo_id = h.vo_id AND e.citem_num = h.citem_num AND e.num - h.num BETWEEN 1 AND h.num_cap - h.num
          AND e.entity_attribute = 'items' AND e.entity_concept = 'at0006'
        WHERE h.rm_entity = 'HISTORY'""",
 )
@@ -528,8 +528,8 @@ def _(t):
     """SELECT v.vo_id || '::rec.example::' || v.sys_version AS uid, v.ehr_id, e.entity_name AS element, e.magnitude
        FROM f_ehr x JOIN f_comp_version v ON v.ehr_id = x.ehr_id
        JOIN f_nodes o ON o.vo_id = v.vo_id AND o.rm_entity = 'OBSERVATION'
-       JOIN f_nodes pe ON pe.vo_id = o.vo_id AND pe.num > o.num AND pe.num <= o.num_cap AND pe.rm_entity = 'POINT_EVENT'
-       JOIN f_nodes e ON e.vo_id = pe.vo_id AND e.num > pe.num AND e.num <= pe.num_cap AND e.rm_entity = 'ELEMENT'
+       JOIN f_nodes pe ON pe.vo_id = o.vo_id AND pe.num - o.num BETWEEN 1 AND o.num_cap - o.num AND pe.rm_entity = 'POINT_EVENT'
+       JOIN f_nodes e ON e.vo_id = pe.vo_id AND e.num - pe.num BETWEEN 1 AND pe.num_cap - pe.num AND e.rm_entity = 'ELEMENT'
        WHERE e.entity_name LIKE 'pri%' OR e.entity_name LIKE 'shi_ped'
        ORDER BY v.vo_id DESC, v.sys_version DESC, e.num LIMIT 2""",
 )
