@@ -151,12 +151,12 @@ def _(t):
 
 @query("E13_number_parents", "SELECT vo_id, num, parent_num FROM f_nodes")
 def _(t):
-    return fl.compute_parent_num(t.nodes, max_depth=6).select("vo_id", "num", "parent_num")
+    return fl.compute_parent_num(t.nodes).select("vo_id", "num", "parent_num")
 
 
 @query("E14_number_caps", "SELECT vo_id, num, num_cap FROM f_nodes")
 def _(t):
-    return fl.compute_num_cap(t.nodes, max_depth=6).select("vo_id", "num", "num_cap")
+    return fl.compute_num_cap(t.nodes).select("vo_id", "num", "num_cap")
 
 
 @query("F5_preorder_number", "SELECT doc_id, entity_idx, num FROM f_doc_nodes")

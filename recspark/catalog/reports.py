@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from recspark import model
 from recspark.catalog.base import query
+from recspark.catalog.scans import SYSTEM
 from recspark.functions import json_values as j
 from recspark.operators import aggregates as a
 from recspark.operators import contains as c
@@ -119,6 +121,82 @@ def _(t):
     return a.group_by_paths(t.nodes, ["rm_entity", "entity_concept", "dv_type"], aggs)
 
 
+# one JSON value of changing type per event
+_MIXED = """SELECT event_id, event_type, user_id, CASE event_id % 8
+   WHEN 0 THEN json_extract(props, '$.k') WHEN 1 THEN to_json(event_type) WHEN 2 THEN to_json(event_id % 3 = 0) WHEN 3 THEN CAST('null' AS JSON)
+   WHEN 4 THEN to_json(CAST(user_id AS VARCHAR)) WHEN 5 THEN json_extract(props, '$.k') WHEN 6 THEN CAST(CAST(user_id AS VARCHAR) || '.25' AS JSON) END AS v FROM events"""
+_MIXED_KEY = """SELECT *, CASE json_type(v) WHEN 'NULL' THEN 0 WHEN 'VARCHAR' THEN 1 WHEN 'BOOLEAN' THEN 3 ELSE 2 END AS rank,
+   CASE WHEN json_type(v) NOT IN ('NULL', 'VARCHAR', 'BOOLEAN') THEN CAST(v AS DECIMAL(18,6)) END AS number, CASE json_type(v) WHEN 'BOOLEAN' THEN v = 'true' END AS flag,
+   CASE json_type(v) WHEN 'VARCHAR' THEN json_extract_string(v, '$') END AS text FROM (""" + _MIXED + ") WHERE v IS NOT NULL"
+_FIRST = "CASE WHEN rank = 0 THEN 'null' WHEN rank = 1 THEN '\"' || text || '\"' WHEN rank = 2 THEN CAST(number AS VARCHAR) ELSE CAST(flag AS VARCHAR) END"
+
+
+def _mixed(t):
+    """Numbers, texts (also ones that read like a number), booleans, JSON nulls and missing values."""
+    e = F.col("event_id")
+    plain = F.get_json_object("props", "$.k")
+    text = (
+        F.when((e % 8).isin(0, 5), plain).when(e % 8 == 1, F.concat(F.lit('"'), "event_type", F.lit('"')))
+        .when(e % 8 == 2, (e % 3 == 0).cast("string")).when(e % 8 == 3, "null")
+        .when(e % 8 == 4, F.concat(F.lit('"'), F.col("user_id").cast("string"), F.lit('"'))).when(e % 8 == 6, F.concat(F.col("user_id").cast("string"), F.lit(".25")))
+    )
+    return t.table("events").select("event_id", "event_type", "user_id", j.parse(text).alias("v"))
+
+
+def _shown(value):
+    """A JSON scalar as text, numbers with six decimals."""
+    return F.coalesce(j.json_number(value).cast("decimal(18,6)").cast("string"), F.to_json(value))
+
+
+@query(
+    "E4_min_max_json",
+    f"""WITH k AS ({_MIXED_KEY}),
+        r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY rank, number, flag, text) AS a, row_number() OVER (PARTITION BY user_id ORDER BY rank DESC, number DESC, flag DESC, text DESC) AS z FROM k)
+        SELECT user_id, max(CASE WHEN a = 1 THEN {_FIRST} END) AS lo, max(CASE WHEN z = 1 THEN {_FIRST} END) AS hi FROM r GROUP BY user_id""",
+)
+def _(t):
+    v = F.col("v")
+    rows = _mixed(t).groupBy("user_id").agg(a.agg_min_json(v).alias("lo"), a.agg_max_json(v).alias("hi"))
+    return rows.filter("lo IS NOT NULL").select("user_id", _shown(F.col("lo")).alias("lo"), _shown(F.col("hi")).alias("hi"))
+
+
+@query(
+    "E7_avg_sum_json",
+    f"""WITH k AS ({_MIXED_KEY})
+        SELECT event_type, user_id % 10 AS part, CAST(sum(number) AS DECIMAL(28,6)) AS total, CAST(count(number) AS BIGINT) AS numbers,
+               CAST(CASE WHEN count(number) > 0 THEN ((sum(number) * 1000)::HUGEINT * 2 + count(number)) // (2 * count(number)) / 1000 END AS DECIMAL(18,3)) AS mean,
+               CAST(sum(CASE WHEN event_id % 8 <= 3 AND event_id % 8 > 0 THEN number END) AS DECIMAL(28,6)) AS no_numbers
+        FROM k GROUP BY event_type, user_id % 10""",
+)
+def _(t):
+    v = F.col("v")
+    none = F.when((F.col("event_id") % 8).between(1, 3), v)
+    rows = _mixed(t).filter("v IS NOT NULL").groupBy("event_type", (F.col("user_id") % 10).alias("part"))
+    return rows.agg(
+        a.agg_sum_json(v).cast("decimal(28,6)").alias("total"), F.count(j.json_number(v)).alias("numbers"), a.agg_avg_json(v).cast("decimal(18,3)").alias("mean"),
+        a.agg_sum_json(none).cast("decimal(28,6)").alias("no_numbers"),
+    )
+
+
+@query(
+    "E10_implicit_keys",
+    f"""SELECT CAST(n.vo_id AS VARCHAR) || '::{SYSTEM}::' || CAST(v.sys_version AS VARCHAR) AS uid,
+               CASE WHEN starts_with(n.entity_concept, '.') THEN '{model.ARCHETYPE_PREFIX}' || n.rm_entity || n.entity_concept ELSE n.entity_concept END AS node_id,
+               n.num AS node, v.template_name, 'line' AS label, count(*) AS n, CAST(sum(e.magnitude) AS DECIMAL(28,2)) AS total
+        FROM f_comp_version v JOIN f_nodes n ON n.vo_id = v.vo_id JOIN f_nodes e ON e.vo_id = n.vo_id AND e.num - n.num BETWEEN 1 AND n.num_cap - n.num
+        WHERE n.rm_entity = 'OBSERVATION' AND e.rm_entity = 'ELEMENT' GROUP BY n.vo_id, v.sys_version, n.rm_entity, n.entity_concept, n.num, n.num_cap, v.template_name""",
+)
+def _(t):
+    rows = ver.with_data(t.comp_version.select("vo_id", "sys_version", "template_name"), c.nodes_as(t.nodes, "o", "OBSERVATION", columns=["rm_entity", "entity_concept"]))
+    rows = c.contains(rows, "o", c.nodes_as(t.nodes, "e", "ELEMENT", columns=["magnitude"]), "e", blocks=t.blocks)
+    paths = [
+        a.Projected("uid", "uid", system=SYSTEM), a.Projected("archetype", "node_id", prefix="o"), a.Projected("object", "node", prefix="o"),
+        a.Projected("column", "template_name", F.col("template_name")), a.Projected("constant", "label", F.lit("line")),
+    ]
+    out = a.group_by_projected(rows, paths, [a.agg_count().alias("n"), a.agg_sum(F.col("e_magnitude")).cast("decimal(28,2)").alias("total")])
+    return out.withColumn("node", F.col("node.num"))
+
+
 @query("E11_distinct", "SELECT DISTINCT entity_name, value_str FROM f_nodes")
 def _(t):
     return a.distinct_paths(t.nodes, ["entity_name", "value_str"])

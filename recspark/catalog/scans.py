@@ -11,6 +11,7 @@ from recspark.functions import extracted as x
 from recspark.functions import ids
 from recspark.functions import predicates as p
 from recspark.functions import values as v
+from recspark.functions.times import iso_text
 from recspark.operators.aggregates import agg_count
 from recspark.operators.paths import constant_column, result_columns
 from recspark.operators.versions import all_versions
@@ -99,9 +100,9 @@ def _(t):
         F.hour("ts"), F.lit("H"), F.minute("ts"), F.lit("M"),
     )
     texts = {
-        "DV_DATE_TIME": F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"),
-        "DV_DATE": F.date_format("ts", "yyyy-MM-dd"),
-        "DV_TIME": F.date_format("ts", "HH:mm:ss"),
+        "DV_DATE_TIME": F.concat(F.substring(iso_text(F.col("ts")), 1, 19), F.lit("."), F.rpad(F.regexp_extract(iso_text(F.col("ts")), r"[.](\d+)Z$", 1), 6, "0"), F.lit("Z")),
+        "DV_DATE": F.substring(iso_text(F.col("ts")), 1, 10),
+        "DV_TIME": F.substring(iso_text(F.col("ts")), 12, 8),
         "DV_DURATION": duration,
         "DV_TEXT": F.col("event_type"),
     }
@@ -372,7 +373,7 @@ def _(t):
 def _(t):
     e = t.table("events")
     seconds = (F.hour("ts") * 3600 + F.minute("ts") * 60 + F.second("ts")).cast("decimal(38,9)")
-    stamp = v.date_time_magnitude(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
+    stamp = v.date_time_magnitude(iso_text(F.col("ts")))
     return e.select(
         "event_id",
         p.compare_ordered(F.lit("DV_DURATION"), seconds, ">", "PT10H30M").alias("longer"),
@@ -535,9 +536,9 @@ def _(t):
     e = t.table("events")
     return e.select(
         "event_id",
-        v.date_time_magnitude(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")).alias("date_time"),
-        v.date_magnitude(F.date_format("ts", "yyyy-MM-dd")).alias("day"),
-        v.time_magnitude(F.date_format("ts", "HH:mm:ss")).alias("time_of_day"),
+        v.date_time_magnitude(F.concat(F.substring(iso_text(F.col("ts")), 1, 19), F.lit("Z"))).alias("date_time"),
+        v.date_magnitude(F.substring(iso_text(F.col("ts")), 1, 10)).alias("day"),
+        v.time_magnitude(F.substring(iso_text(F.col("ts")), 12, 8)).alias("time_of_day"),
         v.duration_magnitude(F.concat(F.lit("P"), F.dayofmonth("ts"), F.lit("DT"), F.hour("ts"), F.lit("H"))).alias("duration"),
         v.proportion_magnitude(F.col("event_id") % 100, F.lit(8)).alias("proportion"),
     )

@@ -232,7 +232,7 @@ def _(t):
        FROM f_folder_nodes a LEFT JOIN f_folder_nodes y ON a.depth = 2 AND y.ehr_id = a.ehr_id AND y.num = a.parent_num""",
 )
 def _(t):
-    return c.folder_name_paths(t.folder_nodes, 2).select("ehr_id", "num", "path")
+    return c.folder_name_paths(t.folder_nodes).select("ehr_id", "num", "path")
 
 
 # ---------------------------------------------------------------------------------------------

@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from recspark import model
+from recspark.functions.times import iso_text, micros_of_text, ntz_of_micros
 
 # Fixed value: template id = name, optional language, optional version with one of several separators
 TEMPLATE_VERSION_PATTERN = (
@@ -59,14 +60,13 @@ def change_type_name(code: Column) -> Column:
 
 
 def iso_format(ts: Column) -> Column:
-    """UTC time as ISO text, with as many fraction digits as needed."""
-    text = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    return F.concat(F.regexp_replace(text, r"\.?0+$", ""), F.lit("Z"))
+    """A UTC time without zone as ISO text, with as many fraction digits as needed."""
+    return iso_text(ts)
 
 
 def iso_parse(text: Column) -> Column:
     """ISO text to UTC time without zone; NULL if unparsable."""
-    return F.try_to_timestamp(text).cast("timestamp_ntz")
+    return ntz_of_micros(micros_of_text(text))
 
 
 def template_version(template_id: Column) -> dict[str, Column]:

@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from recspark.functions.predicates import json_is_number, json_type_rank
+
+NUMBER_TYPE = "decimal(38,9)"
+
 
 def _path(path: str) -> str:
     return "$" + "".join(f".{p}" for p in path.split(".") if p)
@@ -63,6 +67,32 @@ def json_set(value: Column, attribute: str, new: Column) -> Column:
     return F.to_variant_object(F.map_concat(kept, added))
 
 
+def json_number(value: Column, kind: str = NUMBER_TYPE) -> Column:
+    """A JSON number as an exact decimal; NULL for every other type, also for text that reads like a number.
+
+    Digits beyond the ninth decimal are rounded; a number that does not fit is an error, never left out.
+    """
+    return F.when(json_is_number(value), F.variant_get(value, "$", kind))
+
+
+def json_order_key(value: Column) -> Column:
+    """A struct that sorts VARIANT values as JSON: null < string < number < boolean < array < object, then by value.
+
+    Texts go by code points. Numbers are compared as doubles first, which never reverses their order, and as decimals
+    where doubles are equal. Arrays and objects go by their size, then by their text. NULL for a missing value.
+    """
+    rank = json_type_rank(value)
+    number, text = json_is_number(value), F.schema_of_variant(value) == "STRING"
+    exact = [F.when(number, F.try_variant_get(value, "$", f"decimal(38,{scale})")) for scale in (0, 18)]
+    size = F.coalesce(F.size(F.try_variant_get(value, "$", "array<variant>")), F.size(F.try_variant_get(value, "$", "map<string,variant>")))
+    key = F.struct(
+        rank.alias("rank"), F.when(number, F.try_variant_get(value, "$", "double")).alias("double"), exact[0].alias("whole"), exact[1].alias("parts"),
+        F.when(F.schema_of_variant(value) == "BOOLEAN", F.try_variant_get(value, "$", "boolean")).alias("flag"),
+        F.when(~number & ~text, size).alias("size"), F.when(text, F.try_variant_get(value, "$", "string")).when(~number, F.to_json(value)).alias("text"),
+    )
+    return F.when(rank.isNotNull(), key)
+
+
 def array_to_json(array: Column) -> Column:
     return F.to_json(array)
 

@@ -107,10 +107,15 @@ def _rank_of(value) -> int:
     raise ValueError(f"unsupported literal: {value!r}")
 
 
+def json_is_number(value: Column) -> Column:
+    kind = F.schema_of_variant(value)
+    return kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
+
+
 def json_type_rank(value: Column) -> Column:
     """Rank of a VARIANT scalar's type; NULL for a missing value."""
     kind = F.schema_of_variant(value)
-    number = kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
+    number = json_is_number(value)
     return (
         F.when(kind == "VOID", _TYPE_RANK["null"]).when(kind == "STRING", _TYPE_RANK["text"])
         .when(number, _TYPE_RANK["number"]).when(kind == "BOOLEAN", _TYPE_RANK["boolean"])

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recspark import model
+from recspark.functions.times import micros_of_text
 
 MAGNITUDE_TYPE = "decimal(38,9)"
 _DURATION = r"^(-?)P(?:(\d+)Y)?(?:(\d+)M)?(?:(\d+)W)?(?:(\d+)D)?(?:T(?:(\d+)H)?(?:(\d+)M)?(?:(\d+(?:\.\d+)?)S)?)?$"
@@ -16,8 +17,8 @@ _TIME = r"^(\d{2}):(\d{2}):(\d{2}(?:\.\d+)?)(?:Z|[+-]\d{2}:?\d{2})?$"
 
 def date_time_magnitude(value: Column) -> Column:
     """Whole seconds since 0001-01-01T00:00Z; text without offset counts as UTC."""
-    ts = F.try_to_timestamp(value)
-    return (F.unix_seconds(ts) + F.lit(model.EPOCH_OFFSET_SECONDS)).cast(MAGNITUDE_TYPE)
+    seconds = F.floor(micros_of_text(value) / 1_000_000).cast("long")
+    return (seconds + F.lit(model.EPOCH_OFFSET_SECONDS)).cast(MAGNITUDE_TYPE)
 
 
 def date_magnitude(value: Column) -> Column:

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recspark import model
+from recspark.plans.ordered import running_max
 
 BLOCK_BITS = 10  # 1,024 numbers per block
 OBJECT = ("vo_id",)
@@ -110,6 +111,29 @@ def _pairs(left: DataFrame, a: str, right: DataFrame, b: str, key: Sequence[str]
     return a_rows.join(b_rows, on).filter((b_num > a_num) & (b_num <= a_cap)).drop("_block", "_citem")
 
 
+def _holders(intervals: DataFrame, a: str, right: DataFrame, b: str, key: Sequence[str], local: str | None) -> DataFrame:
+    """The intervals that hold some B, without any pair: the first B above A decides.
+
+    A and B are merged by number; walking backwards, the B met last is the first one above. Each row is read once,
+    however deep the A are nested.
+    """
+    if local == "archetype":
+        below = right.select(*key, F.col(f"{b}_citem_num").alias(f"{a}_num")).distinct()
+        return intervals.join(below, [*key, f"{a}_num"], "left_semi")
+    if local not in (None, "node"):
+        raise ValueError(f"unknown local mode: {local}")
+    group, none = list(key), F.lit(None).cast("int")
+    if local == "node":
+        group.append("_citem")
+        intervals, right = intervals.withColumn("_citem", F.col(f"{a}_citem_num")), right.withColumn("_citem", F.col(f"{b}_citem_num"))
+    # a node that is A and B comes as A first, so that it does not hold itself
+    openings = intervals.select(*group, (-2 * F.col(f"{a}_num") - 1).alias("_back"), F.col(f"{a}_num"), F.col(f"{a}_num_cap"), none.alias("_b"))
+    found = right.select(*group, F.col(f"{b}_num").alias("_n")).distinct()
+    found = found.select(*group, (-2 * F.col("_n")).alias("_back"), none.alias(f"{a}_num"), none.alias(f"{a}_num_cap"), (-F.col("_n")).alias("_b"))
+    merged = running_max(openings.unionByName(found), group, "_back", {"_first": F.col("_b")}, inclusive=False)
+    return merged.filter(F.col(f"{a}_num").isNotNull() & (-F.col("_first") <= F.col(f"{a}_num_cap")))
+
+
 def contains(
     left: DataFrame,
     a: str,
@@ -133,11 +157,11 @@ def contains(
         return _pairs(left, a, right, b, key, local)
     ids = [*key, f"{a}_num"]
     intervals = left.select(*ids, f"{a}_num_cap", *([f"{a}_citem_num"] if local == "node" else [])).distinct()
+    if how in ("left_semi", "left_anti"):
+        return left.join(_holders(intervals, a, right, b, key, local).select(*ids), ids, how)
     pairs = _pairs(intervals, a, right, b, key, local)
     pairs = pairs.drop(f"{a}_num_cap", *([f"{a}_citem_num"] if local == "node" else []))
-    if how == "left":
-        return left.join(pairs, ids, "left")
-    return left.join(pairs.select(*ids).distinct(), ids, how)
+    return left.join(pairs, ids, "left")
 
 
 def not_contains(
@@ -222,19 +246,17 @@ def folder_by_path(folders: DataFrame, path: str) -> DataFrame:
     )
 
 
-def folder_name_paths(folders: DataFrame, max_depth: int = 8) -> DataFrame:
-    """Name path of every folder below the root, ``/a/b/c``; deeper folders than ``max_depth`` raise an error."""
-    step = folders.filter("num > 0").select(*FOLDER, "num", "parent_num", "entity_name", "depth")
-    done = folders.filter("num = 0").select(*FOLDER, "num", F.lit("").alias("path"))
-    out = done.withColumn("path", F.lit("/"))
-    for d in range(1, max_depth + 1):
-        level = step.filter(F.col("depth") == d)
-        above = done.select(*FOLDER, F.col("num").alias("parent_num"), F.col("path").alias("above"))
-        done = level.join(above, [*FOLDER, "parent_num"]).select(
-            *FOLDER, "num", F.concat("above", F.lit("/"), "entity_name").alias("path")
-        )
-        out = out.unionByName(done)
-    too_deep = step.filter(F.col("depth") > max_depth).select(
-        *FOLDER, "num", F.raise_error(F.lit("folder deeper than max_depth")).cast("string").alias("path")
-    )
-    return out.unionByName(too_deep)
+def folder_name_paths(folders: DataFrame) -> DataFrame:
+    """Name path of every folder, ``/a/b/c``, the root's is ``/``. Folders may be nested to any depth.
+
+    The folders above one are those whose interval holds it; their names in the order of their numbers are the path, so
+    the pairs that are made are the steps of the paths.
+    """
+    above = folders_as(folders, "a", F.col("num") > 0, ["entity_name"])
+    below = folders_as(folders, "b", F.col("num") > 0, ["entity_name"])
+    steps = _pairs(above, "a", below, "b", FOLDER, None)
+    steps = steps.groupBy(*FOLDER, F.col("b_num").alias("num")).agg(F.sort_array(F.collect_list(F.struct("a_num", "a_entity_name"))).alias("_steps"))
+    names = F.transform("_steps", lambda s: F.concat(F.lit("/"), s["a_entity_name"]))
+    paths = folders.select(*FOLDER, "num", "entity_name").join(steps, [*FOLDER, "num"], "left")
+    own = F.concat(F.coalesce(F.array_join(names, ""), F.lit("")), F.lit("/"), "entity_name")
+    return paths.select(*FOLDER, "num", F.when(F.col("num") == 0, "/").otherwise(own).alias("path"))

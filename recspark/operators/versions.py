@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from recspark import model
 from recspark.functions import ids
+from recspark.functions.times import micros, of_micros
 from recspark.plans.ordered import ordered, running_max
 
 VERSION = ["vo_id", "sys_version"]
@@ -87,9 +88,9 @@ def strict_times(versions: DataFrame, time: str = "sys_period_lower") -> DataFra
     With ``u = time - version * 1us`` this fold is the running maximum of ``u`` by version.
     """
     kind = versions.schema[time].dataType
-    u = F.unix_micros(F.col(time).cast("timestamp")) - F.col("sys_version")
+    u = micros(F.col(time), kind) - F.col("sys_version")
     rows = running_max(versions, ["vo_id"], "sys_version", {"_u": u})
-    fixed = F.timestamp_micros(F.col("_u") + F.col("sys_version")).cast(kind)
+    fixed = of_micros(F.col("_u") + F.col("sys_version"), kind)
     return rows.withColumn(time, fixed).select(*versions.columns)
 
 

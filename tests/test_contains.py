@@ -135,7 +135,5 @@ def test_folders(spark):
     assert rows(c.folder_by_path(f, "/x").select("num")) == []
     roots = c.folders_as(f, "f", F.col("num") == 0)
     assert rows(c.folder_items(roots, "f", items).select("item_vo_id")) == [(10,), (11,), (11,)]
-    paths = dict(rows(c.folder_name_paths(f, 2).select("num", "path")))
+    paths = dict(rows(c.folder_name_paths(f).select("num", "path")))
     assert paths == {0: "/", 1: "/a", 2: "/a/b", 3: "/b"}
-    with pytest.raises(Exception, match="deeper than max_depth"):
-        c.folder_name_paths(f, 1).collect()
