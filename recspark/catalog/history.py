@@ -239,6 +239,32 @@ def _(t):
     return rows.select(*[x.strip() for x in _V.split(",")], "sys_period_upper", "sys_deleted", "is_head")
 
 
+@query(
+    "J2_commit_delta",
+    f"""WITH v AS (SELECT {_V}, sys_period_upper, sys_deleted, is_head, sys_period_lower >= TIMESTAMP '2024-01-28 00:00:00' AS new,
+                          coalesce(sys_period_upper >= TIMESTAMP '2024-01-28 00:00:00', false) AS ends FROM f_versions)
+        SELECT CASE WHEN new AND is_head THEN 'head' WHEN new THEN 'history' WHEN sys_deleted THEN 'ended' ELSE 'closed' END AS part, vo_id, sys_version,
+               CASE WHEN new OR NOT sys_deleted THEN audit_id END AS audit_id, CASE WHEN new AND is_head THEN NULL ELSE sys_period_upper END AS sys_period_upper
+        FROM v WHERE new OR ends
+        UNION ALL SELECT 'latest', vo_id, max(sys_version), NULL, NULL FROM v GROUP BY vo_id HAVING bool_or(new)""",
+)
+def _(t):
+    # the table as of the 28th, then the changes since
+    cut = F.lit("2024-01-28 00:00:00").cast("timestamp_ntz")
+    before = t.versions.filter(F.col("sys_period_lower") < cut)
+    head = before.filter((F.col("sys_period_upper").isNull() | (F.col("sys_period_upper") >= cut)) & ~F.col("sys_deleted"))
+    head = head.select(*[x.strip() for x in _V.split(",")])
+    latest = ver.latest_version(before.select(*cm.LATEST))
+    done = cm.commit_delta(head, latest, _changes(t).filter(F.col("committed_at") >= cut))
+    out = None
+    for part in ("head", "history", "closed", "ended", "latest"):
+        rows = getattr(done, part)
+        own = {c: F.col(c) if c in rows.columns and part != "latest" else F.lit(None).cast(k) for c, k in (("audit_id", "bigint"), ("sys_period_upper", "timestamp_ntz"))}
+        rows = rows.select(F.lit(part).alias("part"), "vo_id", "sys_version", *[v.alias(c) for c, v in own.items()])
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @query(
     "J4_optimistic_check",
     """SELECT c.change_id, CASE WHEN h.vo_id IS NULL THEN 'unknown object' WHEN c.preceding_version <> h.sys_version THEN 'not the latest version' END AS reason

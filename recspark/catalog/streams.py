@@ -40,7 +40,7 @@ def _(t):
     for part in (F.col("committed_at") < cut, F.col("committed_at") >= cut):
         changes.filter(part).write.mode("append").parquet(f"{run}/arriving")
         stream = t.spark.readStream.schema(changes.schema).parquet(f"{run}/arriving")
-        commits.stream_apply_commits(stream, f"{run}/state", compact_every=1)
+        commits.stream_apply_commits(stream, f"{run}/state")
     rows = commits.read_versions(t.spark, f"{run}/state", changes.schema)
     return rows.select("vo_id", "sys_version", "change_type", "sys_period_lower", "sys_period_upper", "sys_deleted", "is_head")
 
@@ -85,12 +85,15 @@ def _(t):
     return _validated(t, "ok").select("change_id", "change_type")
 
 
-def _rates(t, name: str, **window):
-    run = _run_dir(t, name)
-    audit = _stream(t, "events").select(
+def _audits(t):
+    return _stream(t, "events").select(
         F.col("ts").cast("timestamp").alias("time_committed"), F.col("event_type").alias("change_type"), F.col("user_id").alias("committer")
     )
-    rates = checks.stream_commit_rate(audit, **window)
+
+
+def _rates(t, name: str, **window):
+    run = _run_dir(t, name)
+    rates = checks.stream_commit_rate(_audits(t), **window)
     # whole result in every batch, so that windows still open at the end are seen as well
     run_to_end(rates, lambda b, i: write_batch(b, f"{run}/out", i), f"{run}/checkpoint", "complete")
     rows = read_last_batch(t.spark, f"{run}/out")
@@ -125,6 +128,57 @@ def _(t):
     return _rates(t, "session", gap="3 hours", keys=["change_type", "committer"])
 
 
+@query(
+    "K4_stream_closed_windows",
+    """SELECT * FROM (SELECT date_trunc('hour', ts) AS start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS "end", event_type AS change_type, count(*) AS commits
+       FROM events GROUP BY ALL) WHERE "end" <= (SELECT max(ts) - INTERVAL 5 HOURS FROM events)""",
+)
+def _(t):
+    run = _run_dir(t, "closed")
+    checks.stream_closed_windows(_audits(t), f"{run}/out", f"{run}/checkpoint", size="1 hour", delay="5 hours")
+    rows = _all(t, f"{run}/out")
+    return rows.withColumns({"start": F.col("start").cast("timestamp_ntz"), "end": F.col("end").cast("timestamp_ntz")})
+
+
+_CUT = "2024-01-20 00:00:00"
+
+
+@query(
+    "K5_stream_late_commits",
+    f"""WITH c AS (
+          SELECT event_id AS change_id, event_id AS vo_id, ts AS committed_at, 1 AS version, ts >= TIMESTAMP '{_CUT}' AS early FROM events
+          UNION ALL SELECT -event_id, event_id, ts - INTERVAL 1 HOUR, 2, false FROM events WHERE ts >= TIMESTAMP '{_CUT}' AND event_id % 3 = 0),
+        b AS (SELECT max(committed_at) - INTERVAL 6 DAYS AS border FROM c WHERE early)
+        SELECT change_id, vo_id, CASE WHEN NOT late THEN version END AS sys_version,
+               CASE WHEN NOT late THEN CASE version WHEN 1 THEN committed_at ELSE committed_at + INTERVAL 1 HOUR + INTERVAL 1 MICROSECOND END END AS sys_period_lower,
+               CASE WHEN late THEN 'too late' END AS reason
+        FROM (SELECT c.*, NOT early AND committed_at < border AS late FROM c, b)""",
+)
+def _(t):
+    run = _run_dir(t, "late")
+    cut = F.lit(_CUT).cast("timestamp_ntz")
+    e = t.table("events").select("event_id", "user_id", "ts")
+
+    def change(rows, change_id, kind, before, at):
+        return rows.select(
+            change_id.alias("change_id"), F.col("event_id").alias("vo_id"), F.col("user_id").alias("ehr_id"), F.lit(kind).alias("change_type"),
+            F.lit(before).cast("int").alias("preceding_version"), at.alias("committed_at"),
+        )
+
+    early = change(e.filter(F.col("ts") >= cut), F.col("event_id"), "creation", None, F.col("ts"))
+    late = change(e.filter(F.col("ts") < cut), F.col("event_id"), "creation", None, F.col("ts"))
+    # an update that was made before its object's newest version
+    updates = change(e.filter((F.col("ts") >= cut) & (F.col("event_id") % 3 == 0)), -F.col("event_id"), "modification", 1, F.col("ts") - F.expr("INTERVAL 1 HOUR"))
+    for part in (early, late.unionByName(updates)):
+        part.write.mode("append").parquet(f"{run}/arriving")
+        stream = t.spark.readStream.schema(early.schema).parquet(f"{run}/arriving")
+        commits.stream_apply_commits(stream, f"{run}/state", max_delay="6 DAYS")
+    accepted = commits.read_versions(t.spark, f"{run}/state", early.schema).withColumn("reason", F.lit(None).cast("string"))
+    refused = commits.read_rejects(t.spark, f"{run}/state", early.schema)
+    columns = ["change_id", "vo_id", "sys_version", "sys_period_lower", "reason"]
+    return accepted.select(*columns).unionByName(refused.select("change_id", "vo_id", "reason"), allowMissingColumns=True)
+
+
 @query(
     "K6_stream_contains_filter",
     "SELECT DISTINCT doc_id FROM f_doc_nodes WHERE rm_entity = 'ELEMENT' AND value_str LIKE '%ing%'",

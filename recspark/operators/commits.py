@@ -10,6 +10,7 @@ change id, times; no payload) are checkpointed between the steps.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -22,6 +23,7 @@ from recspark.plans.ordered import ordered, running_max
 from recspark.plans.stable import stable
 
 UPDATES = ("modification", "amendment")
+LATEST = ["vo_id", "ehr_id", "sys_version", "sys_period_lower", "sys_deleted"]
 
 
 @dataclass
@@ -34,6 +36,24 @@ class Commits:
     rejects: DataFrame
 
 
+@dataclass
+class Delta:
+    """What a batch changes: rows to add, and the few existing rows that get an end.
+
+    ``head`` and ``history``: new rows. ``closed``: heads of touched objects, as the history rows they become.
+    ``ended``: object, version and end of tombstones that a new version follows. ``latest``: the newest versions of the
+    touched objects, which replace theirs.
+    """
+
+    closed: DataFrame
+    ended: DataFrame
+    head: DataFrame
+    history: DataFrame
+    latest: DataFrame
+    accepted: DataFrame
+    rejects: DataFrame
+
+
 def change_rule_violation(change_type: Column, preceding: Column) -> Column:
     """Reason why a change is malformed, or NULL."""
     has = preceding.isNotNull() & (preceding > 0)
@@ -117,36 +137,51 @@ def chain_commits(latest: DataFrame, changes: DataFrame) -> tuple[DataFrame, Dat
     return accepted, rejects
 
 
-def apply_commits(head: DataFrame, history: DataFrame, changes: DataFrame) -> Commits:
-    """Create, update and delete objects from a batch of changes."""
+def commit_delta(head: DataFrame, latest: DataFrame, changes: DataFrame, history_columns: Sequence[str] | None = None) -> Delta:
+    """What a batch of changes does to a table, without reading its history.
+
+    ``latest`` has the newest version of every object, tombstones included (``vo_id, ehr_id, sys_version,
+    sys_period_lower, sys_deleted``); ``latest_version`` makes it once, each delta says what replaces its rows. Only
+    rows of touched objects are read from ``head`` and ``latest``.
+    """
     touched = changes.select("vo_id").distinct()
-    known = all_versions(head, history).join(touched, "vo_id", "left_semi")
-    latest = latest_version(known.select("vo_id", "ehr_id", "sys_version", "sys_period_lower", "sys_deleted"))
-    accepted, rejects = chain_commits(latest, changes)
+    known = latest.select(*LATEST).join(touched, "vo_id", "left_semi")
+    accepted, rejects = chain_commits(known, changes)
+    columns = list(history_columns) if history_columns else [*head.columns, "sys_period_upper", "sys_deleted"]
 
     # the version before the batch ends where the first new one starts
-    ends = accepted.groupBy("vo_id").agg(
-        F.min("sys_period_lower").alias("_end"), F.min("sys_version").alias("_first"), F.max("sys_version").alias("_last")
-    )
-    columns = history.columns
-    closed_heads = head.join(ends.select("vo_id", "_end"), "vo_id").withColumn("sys_deleted", F.lit(False))
-    closed_heads = closed_heads.withColumn("sys_period_upper", F.col("_end")).select(*columns)
-    tombstone = F.col("sys_deleted") & (F.col("sys_version") == F.col("_first") - 1)
-    old = history.join(ends.select("vo_id", "_end", "_first"), "vo_id", "left")
-    old = old.withColumn("sys_period_upper", F.when(tombstone, F.col("_end")).otherwise(F.col("sys_period_upper"))).select(*columns)
+    ends = accepted.groupBy("vo_id").agg(F.min("sys_period_lower").alias("_end"), F.min("sys_version").alias("_first"))
+    closed = head.join(ends.select("vo_id", "_end"), "vo_id").withColumns({"sys_deleted": F.lit(False), "sys_period_upper": F.col("_end")})
+    ended = known.filter("sys_deleted").join(ends, "vo_id").filter("sys_version = _first - 1")
+    ended = ended.select("vo_id", "sys_version", F.col("_end").alias("sys_period_upper"))
 
     written = accepted.withColumn("_open", F.col("sys_period_upper").isNull() & ~F.col("sys_deleted"))
-    for c in columns:
-        if c not in written.columns:
-            written = written.withColumn(c, F.lit(None).cast(history.schema[c].dataType))
-    new_head = written.filter("_open").select(*head.columns)
-    new_history = written.filter("NOT _open").select(*columns)
-    kept = head.join(ends.select("vo_id"), "vo_id", "left_anti").select(*head.columns)
+    kinds = {**{f.name: f.dataType for f in head.schema}, **{f.name: f.dataType for f in accepted.schema}}
+    for c in {*head.columns, *columns} - set(written.columns):
+        written = written.withColumn(c, F.lit(None).cast(kinds[c]))
+    newest = latest_version(known.unionByName(accepted.select(*LATEST)))
+    return Delta(
+        closed=closed.select(*columns), ended=ended, head=written.filter("_open").select(*head.columns),
+        history=written.filter("NOT _open").select(*columns), latest=newest.select(*LATEST), accepted=accepted, rejects=rejects,
+    )
+
+
+def apply_commits(head: DataFrame, history: DataFrame, changes: DataFrame, latest: DataFrame | None = None) -> Commits:
+    """Create, update and delete objects from a batch of changes: the whole table afterwards.
+
+    With ``latest`` (the newest version of every object) the versions of touched objects are not looked for in the history.
+    """
+    if latest is None:
+        touched = changes.select("vo_id").distinct()
+        latest = latest_version(all_versions(head, history).join(touched, "vo_id", "left_semi").select(*LATEST))
+    delta = commit_delta(head, latest, changes, history.columns)
+    ended = delta.ended.withColumnRenamed("sys_period_upper", "_end")
+    old = history.join(ended, ["vo_id", "sys_version"], "left")
+    old = old.withColumn("sys_period_upper", F.coalesce("_end", "sys_period_upper")).select(*history.columns)
+    kept = head.join(delta.accepted.select("vo_id").distinct(), "vo_id", "left_anti").select(*head.columns)
     return Commits(
-        head=kept.unionByName(new_head),
-        history=old.unionByName(closed_heads).unionByName(new_history),
-        accepted=accepted,
-        rejects=rejects,
+        head=kept.unionByName(delta.head), history=old.unionByName(delta.closed).unionByName(delta.history),
+        accepted=delta.accepted, rejects=delta.rejects,
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from recspark.operators.flatten import flatten_documents, with_value_columns
-from recspark.streaming.sinks import run_to_end, write_batch
+from recspark.streaming.sinks import batch_path, run_to_end, write_batch
 
 
 def stream_validate(
@@ -21,8 +21,8 @@ def stream_validate(
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        violations = rules(batch)
-        write_batch(violations, rejects, batch_id)
+        write_batch(rules(batch), rejects, batch_id)
+        violations = batch.sparkSession.read.parquet(batch_path(rejects, batch_id))  # the rules run once
         write_batch(batch.join(violations.select(*key).distinct(), list(key), "left_anti"), ok, batch_id)
 
     return run_to_end(changes, each, checkpoint)
@@ -44,6 +44,15 @@ def stream_commit_rate(
     return counts.select(F.col(f"{name}.start").alias("start"), F.col(f"{name}.end").alias("end"), *keys, "commits")
 
 
+def stream_closed_windows(audit: DataFrame, out: str, checkpoint: str, **window) -> StreamingQuery:
+    """Write every window of ``stream_commit_rate`` once, when the watermark has passed its end; then stop.
+
+    A window that is written leaves the state, so the state holds the windows of the last ``delay`` only. Windows that
+    are still open stay in the state for a later call.
+    """
+    return run_to_end(stream_commit_rate(audit, **window), lambda batch, i: write_batch(batch, out, i), checkpoint)
+
+
 def stream_contains(
     docs: DataFrame, id_col: str, doc_col: str, pattern: Callable[[DataFrame], DataFrame], out: str, checkpoint: str, max_depth: int = 12
 ) -> StreamingQuery:

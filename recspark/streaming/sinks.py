@@ -26,6 +26,20 @@ def complete_batches(spark: SparkSession, path: str, name: str = "batch") -> lis
     return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in (found or []))
 
 
+def child_numbers(spark: SparkSession, path: str, name: str) -> list[int]:
+    """Numbers of the sub-folders ``name=N`` of ``path``."""
+    jvm = spark.sparkContext._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{path}/{name}=*")
+    found = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern)
+    return sorted(int(s.getPath().getName().split("=")[1]) for s in (found or []))
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of a state that nothing reads any more."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def read_batches(
     spark: SparkSession, path: str, schema: T.StructType, before: int | None = None, after: int = -1
 ) -> DataFrame:

@@ -87,7 +87,7 @@ def test_stream_equals_the_fold_over_batches(spark, tmp_path):
         changes = random_changes(rnd, 120, 8, i * 1000)
         total += len(changes)
         spark.createDataFrame(changes, CHANGE).coalesce(1).write.mode("append").parquet(arriving)
-        stream_apply_commits(spark.readStream.schema(schema).parquet(arriving), state, compact_every=2)
+        stream_apply_commits(spark.readStream.schema(schema).parquet(arriving), state, buckets=4)
         for cid, (vo, v, start, deleted) in sorted(sequential(states, changes).items(), key=lambda x: x[1][1]):
             states[vo] = (v, deleted, start, vo % 3)
             expected[cid] = (vo, v, start, deleted)
@@ -96,6 +96,47 @@ def test_stream_equals_the_fold_over_batches(spark, tmp_path):
     assert got.count() + read_rejects(spark, state, schema).count() == total
 
 
+def test_deltas_add_up(spark):
+    """Batch by batch, the deltas lead to the same table as applying to the whole one; the history is never read."""
+    rnd = random.Random(9)
+    head, history = spark.createDataFrame([], HEAD), spark.createDataFrame([], HISTORY)
+    latest = spark.createDataFrame([], head.select("vo_id", "ehr_id", "sys_version", "sys_period_lower").schema.add("sys_deleted", "boolean"))
+    kept = {}
+    for i in range(3):
+        changes = spark.createDataFrame(random_changes(rnd, 80, 6, i * 1000), CHANGE)
+        delta = cm.commit_delta(head, latest, changes, history.columns)
+        done = cm.apply_commits(head, history, changes, latest)
+        for r in delta.ended.collect():
+            kept[r.vo_id, r.sys_version] = r.sys_period_upper
+        for r in [*delta.closed.collect(), *delta.history.collect()]:
+            kept[r.vo_id, r.sys_version] = r.sys_period_upper
+        whole = cm.apply_commits(head, history, changes)
+        assert rows(done.head) == rows(whole.head) and rows(done.history) == rows(whole.history) and rows(done.rejects) == rows(whole.rejects)
+        newest = {r.vo_id: r for r in latest.collect()} | {r.vo_id: r for r in delta.latest.collect()}
+        head, history = spark.createDataFrame(whole.head.collect(), HEAD), spark.createDataFrame(whole.history.collect(), HISTORY)
+        latest = spark.createDataFrame(list(newest.values()), latest.schema)
+        assert {(r.vo_id, r.sys_version): r.sys_period_upper for r in history.collect()} == kept
+        assert rows(latest) == rows(ver.latest_version(ver.all_versions(head, history)).select(*latest.columns))
+
+
+def test_a_batch_reads_its_buckets_only(spark, tmp_path):
+    """A micro-batch on one object leaves the files of the other buckets alone and drops no generation still in use."""
+    import os
+
+    arriving, state = str(tmp_path / "in"), str(tmp_path / "state")
+    schema = spark.createDataFrame([], CHANGE).schema
+    batches = [[(i, i, 1, "creation", None, T0) for i in range(1, 40)]] + [[(100 + v, 7, 1, "modification", v, T0 + dt.timedelta(days=v))] for v in (1, 2, 3)]
+    seen = []
+    for batch in batches:
+        spark.createDataFrame(batch, CHANGE).coalesce(1).write.mode("append").parquet(arriving)
+        stream_apply_commits(spark.readStream.schema(schema).parquet(arriving), state, buckets=8)
+        seen.append({b: sorted(os.listdir(f"{state}/latest/{b}")) for b in os.listdir(f"{state}/latest") if b.startswith("bucket=")})
+    changed = {b for b in seen[0] if seen[0][b] != seen[-1][b]}
+    assert len(seen[0]) == 8 and len(changed) == 1 and seen[-1][changed.pop()] == ["upto=2", "upto=3"]
+    got = read_versions(spark, state, schema)
+    assert got.count() == 42 and got.filter("is_head").count() == 39
+
+
 def test_late_commits_are_refused(spark, tmp_path):
     arriving, state = str(tmp_path / "in"), str(tmp_path / "state")
     schema = spark.createDataFrame([], CHANGE).schema
