@@ -67,7 +67,7 @@ _COLUMNS = [x.strip() for x in _TREE.split(",")]
 
 
 def doc_nodes(t):
-    return fl.flatten_documents(documents(t), "doc_id", "doc", max_depth=4)
+    return fl.flatten_documents(documents(t), "doc_id", "doc")
 
 
 @query("A8_flatten_documents", f"SELECT {_TREE}, value_str FROM f_doc_nodes")

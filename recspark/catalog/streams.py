@@ -197,5 +197,5 @@ def _(t):
         hits = c.nodes_as(nodes, "e", "ELEMENT", where=F.col("value_str").contains("ing"), key=["doc_id"])
         return c.contains(lines, "o", hits, "e", key=["doc_id"], how="left_semi")
 
-    checks.stream_contains(documents(Arriving), "doc_id", "doc", pattern, f"{run}/out", f"{run}/checkpoint", max_depth=4)
+    checks.stream_contains(documents(Arriving), "doc_id", "doc", pattern, f"{run}/out", f"{run}/checkpoint")
     return _all(t, f"{run}/out").select("doc_id")

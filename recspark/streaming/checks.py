@@ -54,7 +54,7 @@ def stream_closed_windows(audit: DataFrame, out: str, checkpoint: str, **window)
 
 
 def stream_contains(
-    docs: DataFrame, id_col: str, doc_col: str, pattern: Callable[[DataFrame], DataFrame], out: str, checkpoint: str, max_depth: int = 12
+    docs: DataFrame, id_col: str, doc_col: str, pattern: Callable[[DataFrame], DataFrame], out: str, checkpoint: str, max_depth: int | None = None
 ) -> StreamingQuery:
     """Keep arriving documents that satisfy a containment pattern; they go to the folder ``out``.
 
