@@ -30,7 +30,8 @@ def components(links: DataFrame, folder: str, a: str = "a", b: str = "b") -> Dat
         # large star: larger neighbours of u are hung on the smallest node around u
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        edges = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
+        # a link gives one row at most, so repeated ones can wait for the next step
+        edges = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v")
         edges = written(edges, folder, f"edges-{step}a")
         # small star: u and its smaller neighbours are hung on the smallest of them
         least = edges.groupBy("u").agg(F.min("v").alias("m"))
