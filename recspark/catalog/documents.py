@@ -141,6 +141,53 @@ def _(t):
     return docs.select("doc_id", "o_num", shown.alias("shown"))
 
 
+def _order_documents(t):
+    """An action per order; the objects between it and the trees with its status and priority have no row of their own."""
+    element = lambda v: F.struct(F.lit("ELEMENT").alias("_type"), F.struct(F.col(v).alias("value")).alias("value"))
+    tree = lambda v: F.struct(F.lit("ITEM_TREE").alias("_type"), F.array(element(v), element(v)).alias("items"))
+    details = F.struct(F.lit("INSTRUCTION_DETAILS").alias("_type"), F.col("o_orderkey").alias("activity_id"), tree("o_orderstatus").alias("wf_details"))
+    origin = F.struct(F.lit("FEEDER_AUDIT_DETAILS").alias("_type"), tree("o_orderpriority").alias("other_details"), F.col("o_custkey").alias("system_id"))
+    audit = F.struct(F.lit("FEEDER_AUDIT").alias("_type"), origin.alias("originating_system_audit"))
+    action = F.struct(F.lit("ACTION").alias("_type"), audit.alias("feeder_audit"), details.alias("instruction_details"))
+    doc = F.struct(F.lit("COMPOSITION").alias("_type"), F.array(action).alias("content"))
+    return t.table("orders").select("o_orderkey", doc.alias("doc"))
+
+
+frame(
+    "f_order_docs",
+    """SELECT o_orderkey, '{"_type":"ACTION","feeder_audit":{"_type":"FEEDER_AUDIT","originating_system_audit":{"_type":"FEEDER_AUDIT_DETAILS",'
+           || '"other_details":{"_type":"ITEM_TREE","items":[' || p || ',' || p || ']},"system_id":' || o_custkey || '}},"instruction_details":{"_type":"INSTRUCTION_DETAILS",'
+           || '"activity_id":' || o_orderkey || ',"wf_details":{"_type":"ITEM_TREE","items":[' || s || ',' || s || ']}}}' AS action
+       FROM (SELECT o_orderkey, o_custkey, '{"_type":"ELEMENT","value":{"value":"' || o_orderpriority || '"}}' AS p, '{"_type":"ELEMENT","value":{"value":"' || o_orderstatus || '"}}' AS s FROM orders)""",
+)
+
+
+@query("A11_reconstruct_detached", """SELECT o_orderkey, '{"_type":"COMPOSITION","content":[' || action || ']}' AS doc FROM f_order_docs""")
+def _(t):
+    nodes = fl.flatten_documents(_order_documents(t), "o_orderkey", "doc")
+    return fl.reconstruct_documents(nodes, ["o_orderkey"]).select("o_orderkey", F.to_json("doc").alias("doc"))
+
+
+@query("B9_subtree_detached", "SELECT o_orderkey, 1 AS a_num, action AS doc FROM f_order_docs")
+def _(t):
+    nodes = fl.flatten_documents(_order_documents(t), "o_orderkey", "doc")
+    actions = c.nodes_as(nodes, "a", "ACTION", columns=["entity_idx"], key=["o_orderkey"])
+    return fl.subtree_objects(actions, "a", nodes, key=["o_orderkey"]).select("o_orderkey", "a_num", F.to_json("doc").alias("doc"))
+
+
+@query(
+    "B9_subtree_document",
+    """SELECT doc_id, base AS o_num, '{"_type":"OBSERVATION","archetype_node_id":"openEHR-EHR-OBSERVATION.line.v1","name":{"value":' || to_json(lang) || '},'
+           || '"protocol":{"_type":"ITEM_LIST","archetype_node_id":"at0000","items":[' || list_aggregate(list_transform(string_split(line, '. '), lambda x, k:
+           '{"_type":"ELEMENT","archetype_node_id":"at0001","name":{"value":"s' || (k - 1) || '"},"value":{"_type":"DV_TEXT","value":' || to_json(x) || '}}'), 'string_agg', ',') || ']}}' AS doc
+       FROM f_doc_lines""",
+)
+def _(t):
+    nodes = doc_nodes(t)
+    tops = c.nodes_as(nodes, "o", "OBSERVATION", columns=["entity_idx"], key=["doc_id"])
+    return fl.subtree_objects(tops, "o", nodes, key=["doc_id"]).select("doc_id", "o_num", F.to_json("doc").alias("doc"))
+
+
 @query("A12_write_nodes", "SELECT vo_id, num, num_cap, rm_entity, magnitude FROM f_nodes")
 def _(t):
     # written to and read back from the shared folder

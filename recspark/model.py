@@ -50,6 +50,8 @@ ALLOWED_PARENTS.update(
     }
 )
 
+ALLOWED_PARENTS["FEEDER_AUDIT"] += ("ITEM_LIST", "ITEM_SINGLE", "ITEM_TABLE", "ITEM_TREE", "CLUSTER", "ELEMENT")
+
 STRUCTURE_TYPES = tuple(ALLOWED_PARENTS)
 # walked through, but without a row of their own
 INTERMEDIATE_TYPES = ("INSTRUCTION_DETAILS", "FEEDER_AUDIT_DETAILS")

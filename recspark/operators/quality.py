@@ -119,13 +119,19 @@ def _allowed_pairs() -> list[str]:
 
 
 def check_structure(nodes: DataFrame, key: Sequence[str] = ("vo_id",)) -> DataFrame:
-    """The type of every node may stand under the type of its parent; roots are root types."""
+    """The type of every node may stand under the type of its parent; roots are root types.
+
+    A node whose parent has no row (``parent_num`` -1) is of a type that may stand under such a parent.
+    """
     child = nodes.select(*key, "num", "parent_num", "rm_entity")
     parent = nodes.select(*key, F.col("num").alias("parent_num"), F.col("rm_entity").alias("_parent"))
     rows = child.filter("num > 0").join(parent, [*key, "parent_num"], "left")
     pair = F.concat_ws(">", F.col("_parent"), F.col("rm_entity"))
+    detached = F.col("parent_num") == -1
+    may_be = [t for t, parents in model.ALLOWED_PARENTS.items() if set(parents) & set(model.INTERMEDIATE_TYPES)]
     below = _violations(rows, [*key, "num"], [
-        (F.col("_parent").isNull(), "/", "parent", "parent does not exist"),
+        (F.col("_parent").isNull() & ~detached, "/", "parent", "parent does not exist"),
+        (detached & ~F.col("rm_entity").isin(may_be), "/", "type", F.concat(F.lit("not allowed without a parent: "), F.col("rm_entity"))),
         (F.col("_parent").isNotNull() & ~pair.isin(_allowed_pairs()), "/", "type", F.concat(F.lit("not allowed: "), pair)),
     ])
     roots = _violations(child.filter("num = 0"), [*key, "num"], [
@@ -135,9 +141,12 @@ def check_structure(nodes: DataFrame, key: Sequence[str] = ("vo_id",)) -> DataFr
 
 
 def check_tree(nodes: DataFrame, key: Sequence[str] = ("vo_id",)) -> DataFrame:
-    """Numbers are dense from 0 with one root, and every interval lies inside its parent's."""
+    """Numbers are dense from 0 with one root, and every interval lies inside its parent's.
+
+    A node whose parent has no row (``parent_num`` -1) lies inside the root's.
+    """
     num, cap, parent = F.col("num"), F.col("num_cap"), F.col("parent_num")
-    rows = nodes.select(*key, "num", "num_cap", "parent_num")
+    rows = nodes.select(*key, "num", "num_cap", F.when(parent == -1, 0).otherwise(parent).alias("parent_num"))
     own = [
         (num < 0, "/", "number", "negative number"),
         (cap < num, "/", "cap", "num_cap below num"),
