@@ -9,6 +9,7 @@ from recspark.llm.shared import run_dir, written
 from recspark.llm.text import WHITE, ascii_lower
 
 MIN_CHARS = 10
+PARTS = 1024  # parts that the ids of a line are dealt over
 
 
 def lines_of(text: Column) -> Column:
@@ -16,6 +17,31 @@ def lines_of(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
+def _streamed(lines: DataFrame) -> DataFrame:
+    """``lines`` with their part of a hash's ids and the part's first id, found in one pass over sorted ranges.
+
+    The range partitioning serves the window as it is: a partition is sorted by hash, part, id and position, and its rows
+    stream past the first one of their hash and part. Ids are dealt over ``PARTS`` parts, so a line that is found
+    everywhere is many small runs in many partitions.
+    """
+    ranged = lines.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(PARTS)).cast("int")).repartitionByRange("h1", "h2", "part")
+    ahead = Window.partitionBy("h1", "h2", "part").orderBy("id", "at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return ranged.withColumn("first", F.first("id").over(ahead))
+
+
+def _repeated(lines: DataFrame, folder: str) -> DataFrame:
+    """(id, version, at) of the lines that a smaller id has as well.
+
+    A line behind the first id of its part is repeated whatever the other parts hold. The lines of first ids, the heads,
+    are settled among themselves: a hash has ``PARTS`` heads at most, but for lines that one document repeats.
+    """
+    streamed = written(_streamed(lines), folder, "streamed")
+    heads = streamed.where("id = first")
+    first = F.min("id").over(Window.partitionBy("h1", "h2"))
+    late = heads.withColumn("first", first)
+    return streamed.where("id > first").union(late.where("id > first").select(streamed.columns)).select("id", "version", "at")
+
+
 def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
     """(id, version, bitmap) for the texts that lose lines.
 
@@ -24,10 +50,7 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text: str = "text", mi
     (ends stripped, A-Z lower-cased, at least ``min_chars`` code points) is found in a smaller id as well; lines of
     rows without an id stay and count for nothing.
 
-    Lines travel as (128-bit hash, id, version, position) only. They are range-partitioned by all of it, so a line that
-    is found everywhere spreads over many partitions, and sorted there; each partition hands on the first holder of
-    every hash it has. Hashes with one holder end there; the others meet their lines in an equi join, which Spark splits
-    where a hash is frequent.
+    Lines travel as (128-bit hash, id, version, position) only, see ``_repeated``.
     """
     spark = docs.sparkSession
     folder = run_dir(spark, "line-dedup")
@@ -37,10 +60,8 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text: str = "text", mi
     )
     key = raw.withColumn("key", F.btrim("line", F.lit(WHITE))).where(F.char_length("key") >= min_chars).withColumn("key", ascii_lower(F.col("key")))
     lines = written(key.select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"), "id", "version", "at"), folder, "lines")
-    ranged = lines.repartitionByRange("h1", "h2", "id", "at").sortWithinPartitions("h1", "h2", "id", "at")
-    holders = ranged.groupBy("h1", "h2").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
-    holders = written(holders.select("h1", "h2", "first"), folder, "holders")
-    dropped = lines.join(holders, ["h1", "h2"]).where("id > first").select("id", "version", "at").distinct()
+    # dealt by text once: the steps up to the bitmap keep that partitioning
+    dropped = _repeated(lines, folder).repartition("id", "version").distinct()
     by_text = Window.partitionBy("id", "version")
     runs = dropped.withColumn("run", F.col("at") - F.row_number().over(by_text.orderBy("at"))).groupBy("id", "version", "run").agg(F.min("at").alias("start"), F.count("*").cast("int").alias("n"))
     runs = runs.withColumn("gap", F.col("start") - F.coalesce(F.lag(F.col("start") + F.col("n")).over(by_text.orderBy("start")), F.lit(0)))

@@ -58,3 +58,25 @@ def test_lines_keep_columns(docs, rows):
 def test_empty(docs):
     none = docs.limit(0)
     assert quality_rules.quality_counts(none).count() == quality_rules.quality_filter(none).count() == line_dedup.line_dedup_report(none).count() == 0
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_lines_by_parts(docs, rows, parts, monkeypatch):
+    """A line's ids in few parts, so that most are behind the first id of their own part, and ids that are texts."""
+    monkeypatch.setattr(line_dedup, "PARTS", parts)
+    same([tuple(r) for r in line_dedup.line_dedup_report(docs).collect()], brute.line_dedup(rows))
+
+
+def test_lines_of_text_ids(spark):
+    rows = [("b", "a line of text\nown line of b"), ("a", "A line of text \nx\na line of text"), (None, "a line of text"), ("c", "a line of text"), ("c", "other\n a line of text")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    got = sorted((r.doc_id or "", r.text) for r in line_dedup.dedup_lines(docs).collect())
+    assert got == [("", "a line of text"), ("a", "A line of text \nx\na line of text"), ("b", "own line of b"), ("c", ""), ("c", "other")]
+
+
+def test_first_occurrences_are_streamed(spark):
+    lines = spark.createDataFrame([(1, 2, 3, 4, 5)], "h1 long, h2 long, id long, version long, at int")
+    plan = line_dedup._streamed(lines)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == plan.count("Exchange rangepartitioning(h1") == 1
+    assert plan.index("Window ") < plan.index("Sort [h1") < plan.index("Exchange ")
+    assert "Aggregate" not in plan and "Join" not in plan
