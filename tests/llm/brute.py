@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
 
 import pyarrow.parquet as pq
+import xxhash
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 WHITE = " \t\n\x0b\x0c\r"
@@ -103,3 +105,81 @@ def near_duplicates(rows):
 
 def crc(text):
     return zlib.crc32(str(text).encode())
+
+
+def fails_quality(text):
+    n, chars, symbols, repeated_lines, inside, base_failed, lines = quality(text)
+    return base_failed or chars < 2 * n or chars > 25 * n or 10 * symbols > n or 10 * repeated_lines > 6 * lines
+
+
+def without_repeated_lines(rows):
+    """(id, text, ...) with the lines that ``line_dedup`` keeps."""
+    def key(x):
+        return lower(x.strip(WHITE))
+
+    first = {}
+    for d, t, *_ in rows:
+        for x in (t or "").split("\n") if d is not None else ():
+            if len(key(x)) >= 10:
+                first[key(x)] = min(d, first.get(key(x), d))
+    return [(d, "\n".join(x for x in (t or "").split("\n") if d is None or first.get(key(x), d) == d), *more) for d, t, *more in rows]
+
+
+def hashed(*values):
+    """Spark's ``xxhash64``: an int is 4 bytes, a tuple of one int a long of 8 bytes; signed."""
+    h = 42
+    for v in values:
+        data = v.encode() if isinstance(v, str) else v[0].to_bytes(8, "little", signed=True) if isinstance(v, tuple) else v.to_bytes(4, "little")
+        h = xxhash.xxh64_intdigest(data, seed=h)
+    return h - 2**64 if h >= 2**63 else h
+
+
+def target_exponent(tokens, entropy, repeats):
+    """The largest exponent that meets the entropy, by plain bisection, or the larger one that the repetition limit asks for."""
+    if len(tokens) < 2 or min(tokens) == max(tokens):
+        return 1.0
+
+    def share(a):
+        z = sum(t**a for t in tokens)
+        return -sum(t**a / z * math.log(t**a / z) for t in tokens) / math.log(len(tokens))
+
+    low, high = 0.0, 1.0
+    if share(1.0) >= entropy:
+        low = 1.0
+    for _ in range(60 if low < 1 else 0):
+        middle = (low + high) / 2
+        low, high = (middle, high) if share(middle) >= entropy else (low, middle)
+    return min(max(low, 1 - math.log(repeats) / math.log(max(tokens) / min(tokens)), 0.0), 1.0)
+
+
+def mixture(rows, entropy, repeats, block_rows, seed=17):
+    """(row, weight, epoch) of every draw of the rows (id, text, lang, source, ...)."""
+    sources = defaultdict(list)
+    for r in rows:
+        sources[r[3]].append((r, len(words(r[1]))))
+    tokens = {s: sum(n for _, n in of) for s, of in sources.items()}
+    a = target_exponent([t for t in tokens.values() if t], entropy, repeats)
+    z = sum(t**a for t in tokens.values() if t)
+    given = max((t / t**a for t in tokens.values() if t), default=0.0) * z
+    out = []
+    for s, of in sources.items():
+        t = tokens[s]
+        weight = t**a / z if t else 0.0
+        epochs = round(weight * given / t, 9) if t else 1.0
+        last = math.floor(epochs)
+        rest, n_blocks = math.floor((epochs - last) * t), -(-len(of) // block_rows)
+        blocks = defaultdict(lambda: defaultdict(list))
+        for r, n in of:
+            key = "" if r[0] is None else str(r[0])
+            blocks[hashed(seed, key) % n_blocks][hashed(seed, (last,), key)].append((r, n))
+        spent, more = 0, []
+        for b in sorted(blocks, key=lambda b: (hashed(seed, (last,), (b,)), b)):
+            if spent >= rest:
+                break
+            for draw in sorted(blocks[b]):  # equal rows are drawn alike
+                spent += sum(n for _, n in blocks[b][draw])
+                if spent > rest:
+                    break
+                more += [r for r, _ in blocks[b][draw]]
+        out += [(r, weight, e) for r, _ in of for e in range(last)] + [(r, weight, last) for r in more]
+    return out
