@@ -47,7 +47,7 @@ def union_distinct(a: DataFrame, b: DataFrame) -> DataFrame:
 
 def with_data(versions: DataFrame, nodes: DataFrame) -> DataFrame:
     """Version rows with their node rows."""
-    return versions.join(nodes, "vo_id")
+    return versions.join(nodes.hint("merge"), "vo_id")
 
 
 def with_audit(versions: DataFrame, audit: DataFrame, how: str = "inner") -> DataFrame:
