@@ -87,7 +87,7 @@ def _(t):
 )
 def _(t):
     events = c.nodes_as(t.nodes, "h", "POINT_EVENT")
-    return c.contains(events, "h", c.nodes_as(t.nodes, "e", "ELEMENT"), "e", local="node").select("vo_id", "h_num", "e_num")
+    return c.contains(events, "h", c.nodes_as(t.nodes, "e", "ELEMENT"), "e", local="node", blocks=t.blocks).select("vo_id", "h_num", "e_num")
 
 
 _A = "{b}.vo_id = o.vo_id AND {b}.num - o.num BETWEEN 1 AND o.num_cap - o.num"
@@ -366,7 +366,7 @@ def _(t):
 )
 def _(t):
     # an observation is one line with nine nodes at most
-    rows = subtree_nodes(_obs(t), "o", t.nodes, columns=["entity_concept", "magnitude"])
+    rows = subtree_nodes(_obs(t), "o", t.nodes, columns=["entity_concept", "magnitude"], blocks=t.blocks)
     shown = F.concat(
         F.col("n_num"), F.lit("="), F.coalesce("n_entity_concept", F.lit("-")), F.lit(":"),
         F.coalesce(F.col("n_magnitude").cast("string"), F.lit("-")),

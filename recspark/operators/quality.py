@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recspark import model
@@ -114,6 +116,11 @@ def check_codes(values: DataFrame, value_sets: DataFrame, mode: str, key: Sequen
     ])
 
 
+def _known(columns: Sequence[str]) -> Column:
+    """No column is null: as in a join, null matches nothing."""
+    return functools.reduce(operator.and_, [F.col(c).isNotNull() for c in columns])
+
+
 def _allowed_pairs() -> list[str]:
     return [f"{parent}>{child}" for child, parents in model.ALLOWED_PARENTS.items() for parent in parents]
 
@@ -123,21 +130,20 @@ def check_structure(nodes: DataFrame, key: Sequence[str] = ("vo_id",)) -> DataFr
 
     A node whose parent has no row (``parent_num`` -1) is of a type that may stand under such a parent.
     """
-    child = nodes.select(*key, "num", "parent_num", "rm_entity")
-    parent = nodes.select(*key, F.col("num").alias("parent_num"), F.col("rm_entity").alias("_parent"))
-    rows = child.filter("num > 0").join(parent, [*key, "parent_num"], "left")
+    num = F.col("num")
+    parent = nodes.select(*key, num.alias("_at"), F.col("rm_entity").alias("_parent"))
+    # roots come along without a parent, so that the nodes are read once for both rules
+    child = nodes.filter("num >= 0").select(*key, "num", "parent_num", "rm_entity", F.when(num > 0, F.col("parent_num")).alias("_at"))
+    rows = child.join(parent.hint("merge"), [*key, "_at"], "left")
     pair = F.concat_ws(">", F.col("_parent"), F.col("rm_entity"))
     detached = F.col("parent_num") == -1
     may_be = [t for t, parents in model.ALLOWED_PARENTS.items() if set(parents) & set(model.INTERMEDIATE_TYPES)]
-    below = _violations(rows, [*key, "num"], [
-        (F.col("_parent").isNull() & ~detached, "/", "parent", "parent does not exist"),
-        (detached & ~F.col("rm_entity").isin(may_be), "/", "type", F.concat(F.lit("not allowed without a parent: "), F.col("rm_entity"))),
-        (F.col("_parent").isNotNull() & ~pair.isin(_allowed_pairs()), "/", "type", F.concat(F.lit("not allowed: "), pair)),
-    ])
-    roots = _violations(child.filter("num = 0"), [*key, "num"], [
-        (~F.col("rm_entity").isin(*model.ROOT_TYPES), "/", "root type", F.concat(F.lit("not a root: "), F.col("rm_entity"))),
+    return _violations(rows, [*key, "num"], [
+        ((num > 0) & F.col("_parent").isNull() & ~detached, "/", "parent", "parent does not exist"),
+        ((num > 0) & detached & ~F.col("rm_entity").isin(may_be), "/", "type", F.concat(F.lit("not allowed without a parent: "), F.col("rm_entity"))),
+        ((num > 0) & F.col("_parent").isNotNull() & ~pair.isin(_allowed_pairs()), "/", "type", F.concat(F.lit("not allowed: "), pair)),
+        ((num == 0) & ~F.col("rm_entity").isin(*model.ROOT_TYPES), "/", "root type", F.concat(F.lit("not a root: "), F.col("rm_entity"))),
     ])
-    return below.unionByName(roots)
 
 
 def check_tree(nodes: DataFrame, key: Sequence[str] = ("vo_id",)) -> DataFrame:
@@ -152,10 +158,11 @@ def check_tree(nodes: DataFrame, key: Sequence[str] = ("vo_id",)) -> DataFrame:
         (cap < num, "/", "cap", "num_cap below num"),
         ((num > 0) & (parent >= num), "/", "parent", "parent_num not below num"),
     ]
-    above = rows.select(*key, num.alias("parent_num"), cap.alias("_cap"))
-    # a number that occurs twice would repeat its children here
-    above = above.groupBy(*key, "parent_num").agg(F.max("_cap").alias("_cap"))
-    nested = rows.join(above, [*key, "parent_num"], "left")
+    # every node stands once at its own number and once at its parent's, so no join is needed
+    at = F.explode(F.array(F.struct(F.lit(False).alias("child"), num.alias("at")), F.struct(F.lit(True).alias("child"), F.col("parent_num").alias("at"))))
+    nested = rows.withColumn("_r", at).withColumns({"_child": F.col("_r.child"), "_at": F.col("_r.at")}).drop("_r")
+    above = F.max(F.when(~F.col("_child"), cap)).over(Window.partitionBy(*key, "_at"))
+    nested = nested.withColumn("_cap", F.when(_known([*key, "_at"]), above)).filter("_child")
     inside = (num > 0) & (F.col("_cap").isNull() | (cap > F.col("_cap")))
     per_node = _violations(nested, [*key, "num"], [*own, (inside, "/", "nesting", "not inside the parent's interval")])
     # dense and unique: as many rows as the largest number says, each number once
@@ -213,14 +220,16 @@ def check_folder_items(items: DataFrame, column: str = "item_id") -> DataFrame:
 def check_cardinality(nodes: DataFrame, constraints: DataFrame, key: Sequence[str] = ("vo_id",)) -> DataFrame:
     """Occurrences per parent against ``constraints(parent_concept, entity_attribute, entity_concept, min_occ, max_occ)``.
 
-    ``max_occ`` NULL = unbounded. A parent without any such child counts as zero.
+    ``max_occ`` NULL = unbounded. A parent without any such child counts as zero. The constraints are few, as they come
+    from definitions, and are broadcast; nodes are not, and only children that some constraint names are counted.
     """
     parents = nodes.select(*key, "num", F.col("entity_concept").alias("parent_concept"))
-    expected = parents.join(constraints, "parent_concept")
-    counts = nodes.filter("num > 0").groupBy(
+    expected = parents.join(F.broadcast(constraints), "parent_concept")
+    named = F.broadcast(constraints.select("entity_attribute", "entity_concept").distinct())
+    counts = nodes.filter("num > 0").join(named, ["entity_attribute", "entity_concept"], "left_semi").groupBy(
         *key, F.col("parent_num").alias("num"), "entity_attribute", F.col("entity_concept")
     ).agg(F.count(F.lit(1)).alias("_n"))
-    rows = expected.join(counts, [*key, "num", "entity_attribute", "entity_concept"], "left")
+    rows = expected.join(counts.hint("merge"), [*key, "num", "entity_attribute", "entity_concept"], "left")
     n = F.coalesce("_n", F.lit(0))
     path = F.concat(F.lit("/"), "entity_attribute", F.lit("["), "entity_concept", F.lit("]"))
     rows = rows.withColumns({"_path": path, "_count": n})
