@@ -84,6 +84,13 @@ def test_numbers_of_small_objects(nodes, blocks):
         assert "Join" not in plan(parents) + plan(caps)
 
 
+def test_repeated_numbers_come_out_alike(nodes, spark):
+    more = nodes.unionByName(spark.createDataFrame([TREE[0], TREE[1], TREE[5], (None, 0, 0, 0, 0, "COMPOSITION", "r", None)], NODES))
+    for number, column in ((fl.compute_parent_num, "parent_num"), (fl.compute_num_cap, "num_cap")):
+        got = [rows(number(more.drop(column), blocks=blocks).select("vo_id", "num", column)) for blocks in (True, False)]
+        assert got[0] == got[1] and len(got[0]) > more.count()
+
+
 def test_checks_meet_parents_without_row(nodes, spark):
     bad = nodes.unionByName(spark.createDataFrame([(2, 1, 1, 7, 1, "SECTION", "s", "content"), (2, 2, 9, 0, 1, "NONE", "s", "content")], NODES))
     assert (2, 1, "parent") in rows(q.check_structure(bad).select("vo_id", "num", "rule"))
