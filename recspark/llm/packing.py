@@ -163,12 +163,14 @@ def generate_columns(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> li
 
     Columns are priced at a mean of the program's dual values and the best ones so far (those with the highest lower
     bound, at first the sizes themselves), which keeps the values from swinging; then the program is solved over all
-    columns found.
+    columns found. Those are kept once, in whole numbers, and as floats for the round they are priced in.
     """
     full = capacity // sizes
-    columns, inverse, used = [np.eye(len(sizes))[i] * full[i] for i in range(len(sizes))], np.diag(1.0 / full), demand / full
-    centre, pool = sizes / capacity, np.zeros((0, len(sizes)))
+    columns, inverse, used = list(np.diag(full).astype(float)), np.diag(1.0 / full), demand / full
+    centre, known, pool = sizes / capacity, set(), None
     bound = centre @ demand
+    # bytes of unsigned big-endian numbers compare as the numbers do
+    kind = np.min_scalar_type(capacity).newbyteorder(">")
     for _ in range(ROUNDS):
         if used.sum() <= bound * (1 + GAP):
             break
@@ -182,7 +184,9 @@ def generate_columns(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> li
                 break
         else:
             break  # no column improves the program
-        pool = np.unique(np.concatenate([pool, found]), axis=0)
+        known.update(row.tobytes() for row in found.astype(kind))
+        pool = None  # the rows of the round before go first
+        pool = np.frombuffer(b"".join(sorted(known)), kind).reshape(-1, len(sizes)).astype(float)
         for _ in range(PIVOTS):
             gain = pool @ inverse.sum(axis=0)
             pattern = pool[int(gain.argmax())]
@@ -197,7 +201,7 @@ def generate_columns(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> li
             pivot = inverse[row] / direction[row]
             inverse -= np.outer(direction, pivot)
             inverse[row] = pivot
-            columns[row] = pattern
+            columns[row] = pattern.copy()  # a view would hold this round's whole pool
     return list(zip(columns, used, strict=True))
 
 

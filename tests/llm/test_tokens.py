@@ -1,5 +1,7 @@
 """Token counts, packing and language-model scores against plain versions."""
 
+import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from math import log10
@@ -84,6 +86,17 @@ def test_plan(limit):
     assert packing.plan({}) == ({}, [])
 
 
+def test_plan_holds_its_columns_once():
+    """The driver keeps the columns of all rounds once, not a copy for each round."""
+    rng, limit = random.Random(6), 128
+    histogram = Counter(min(2048, max(1, int(rng.lognormvariate(5, 1)))) for _ in range(50_000))
+    tracemalloc.start()
+    packing.plan(histogram, 2048, limit)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2 * 8 * packing.ROUNDS * limit * limit
+
+
 def model_scores(rows):
     words = [[*brute.words(brute.lower(r[1] or "")), "\n"] for r in rows]
     out = [brute.crc("" if r[0] is None else r[0]) % 7 == 2 for r in rows]
