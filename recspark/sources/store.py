@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 BUCKETS = 64
@@ -19,21 +19,28 @@ def bucket_of(*key: Column, buckets: int = BUCKETS) -> Column:
     return F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")
 
 
+def _arranged(nodes: DataFrame, key: Sequence[str], buckets: int) -> DataFrame:
+    """Rows sorted by (bucket, key, num), whole objects in one task; a shuffle only if they do not lie by object already.
+
+    A window asks for rows of one group in one task, which rows that lie by object fulfil, while ``repartition`` would
+    move them all once more. Its own sort is the one the files need. Objects that are moved and very large are split.
+    """
+    rows = nodes.withColumns({"bucket": bucket_of(*[F.col(k) for k in key], buckets=buckets), "_part": F.shiftright("num", _PART_BITS)})
+    numbered = F.row_number().over(Window.partitionBy("bucket", *key, "_part").orderBy("num"))
+    rows = rows.withColumn("_row", numbered).filter("_row > 0")  # always: without a use the window would be left out
+    return rows.sortWithinPartitions("bucket", *key, "_part", "num").drop("_part", "_row")
+
+
 def write_nodes(
     nodes: DataFrame, path: str, key: Sequence[str] = ("vo_id",), buckets: int = BUCKETS, mode: str = "overwrite"
 ) -> None:
     """Write node rows of many objects in one job.
 
-    As many tasks as there are shuffle partitions share the buckets, whole objects each; only very large objects are
-    spread over further tasks. Files are sorted by (key, num), so that footer statistics skip row groups of other
-    objects.
+    A task writes whole objects, and one file for each bucket that they lie in; nodes that already lie by object are not
+    shuffled for it, others are, by bucket and object, very large objects over several tasks. Files are sorted by
+    (key, num), so that footer statistics skip row groups of other objects.
     """
-    keys = [F.col(k) for k in key]
-    tasks = max(1, int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")) // buckets)
-    part = F.pmod(F.xxhash64(F.lit("part"), *keys), F.lit(tasks))
-    rows = nodes.withColumn("bucket", bucket_of(*keys, buckets=buckets))
-    rows = rows.repartition(F.col("bucket"), part, F.shiftright("num", _PART_BITS))
-    rows.sortWithinPartitions("bucket", *key, "num").write.mode(mode).partitionBy("bucket").parquet(path)
+    _arranged(nodes, key, buckets).write.mode(mode).partitionBy("bucket").parquet(path)
 
 
 def read_nodes(spark: SparkSession, path: str, key: Sequence[str] = ("vo_id",), ids: Sequence | None = None, buckets: int = BUCKETS) -> DataFrame:
