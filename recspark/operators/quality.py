@@ -131,12 +131,17 @@ def check_structure(nodes: DataFrame, key: Sequence[str] = ("vo_id",)) -> DataFr
     A node whose parent has no row (``parent_num`` -1) is of a type that may stand under such a parent.
     """
     num = F.col("num")
-    parent = nodes.select(*key, num.alias("_at"), F.col("rm_entity").alias("_parent"))
-    # roots come along without a parent, so that the nodes are read once for both rules
-    child = nodes.filter("num >= 0").select(*key, "num", "parent_num", "rm_entity", F.when(num > 0, F.col("parent_num")).alias("_at"))
-    rows = child.join(parent.hint("merge"), [*key, "_at"], "left")
+    # Every node stands once at its own number, there without num, and once at its parent's, so nodes that lie by object are
+    # not moved to find each other. Roots stand there without a parent.
+    none = F.lit(None).cast(nodes.schema["num"].dataType)
+    at = F.array(F.struct(none.alias("num"), num.alias("at")), F.struct(num.alias("num"), F.when(num > 0, F.col("parent_num")).alias("at")))
+    rows = nodes.select(*key, "rm_entity", F.explode(at).alias("_r")).select(*key, "_r.num", "rm_entity", F.col("_r.at").alias("_at"))
+    above = F.collect_list(F.when(num.isNull(), F.struct("rm_entity"))).over(Window.partitionBy(*key, "_at"))
+    rows = rows.withColumn("_above", F.when(_known([*key, "_at"]), above)).filter("num >= 0")
+    # a parent that stands twice is found twice
+    rows = rows.select(*key, "num", "rm_entity", "_at", F.explode_outer("_above").alias("_p")).withColumn("_parent", F.col("_p.rm_entity"))
     pair = F.concat_ws(">", F.col("_parent"), F.col("rm_entity"))
-    detached = F.col("parent_num") == -1
+    detached = F.col("_at") == -1
     may_be = [t for t, parents in model.ALLOWED_PARENTS.items() if set(parents) & set(model.INTERMEDIATE_TYPES)]
     return _violations(rows, [*key, "num"], [
         ((num > 0) & F.col("_parent").isNull() & ~detached, "/", "parent", "parent does not exist"),

@@ -3,6 +3,8 @@
 from pyspark.sql import functions as F
 
 from conftest import rows
+from recspark.catalog.base import BUILDERS
+from recspark.operators import quality as q
 from recspark.sources.store import _arranged, read_nodes, write_nodes
 
 
@@ -18,6 +20,21 @@ NODES = [
 ]
 
 
+def test_structure_check_moves_nodes_once(spark, tables):
+    found = plan(BUILDERS["L8_check_structure"](tables))
+    assert found.count("Exchange hashpartitioning") == 1 and "Join" not in found
+
+
+def test_structure_check_of_repeated_and_missing_parents(spark):
+    """Two nodes with one number are both parents; null keys have none; a parent may lack its type."""
+    got = rows(q.check_structure(spark.createDataFrame(NODES, KIND)).select("vo_id", "num", "message"))
+    assert got == sorted([
+        (1, 1, "not allowed: COMPOSITION>CLUSTER"), (1, 2, "not allowed: CLUSTER>SECTION"), (1, 3, "not allowed: SECTION>ELEMENT"), (1, 4, "parent does not exist"),
+        (1, 5, "not allowed without a parent: SECTION"), (2, 0, "not a root: SECTION"), (2, 1, "not allowed without a parent: SECTION"),
+        (None, 1, "parent does not exist"), (3, 1, "parent does not exist"),
+    ], key=repr)
+
+
 def test_nodes_by_object_are_written_without_a_shuffle(tables):
     one = plan(tables.nodes).count("Exchange hashpartitioning")
     written = plan(_arranged(tables.nodes, ["vo_id"], 8))
