@@ -1,11 +1,14 @@
 """Work that must not grow with the size of the tables: shuffles, passes over documents, tasks."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
 from recspark.catalog.base import BUILDERS
+from recspark.operators import contains as c
 from recspark.operators import quality as q
 from recspark.sources.store import _arranged, read_nodes, write_nodes
+from recspark.streaming import checks
 
 
 def plan(df):
@@ -53,3 +56,31 @@ def test_other_nodes_are_moved_to_write_them(spark, tmp_path):
     assert len({(r.vo_id, r.p) for r in places}) == len({r.vo_id for r in places})
     keys = [(r.p, r.bucket, r.vo_id, r.num) for r in sorted(places, key=lambda r: r.at) if r.vo_id and r.num is not None]
     assert keys == sorted(keys)
+
+
+@pytest.mark.parametrize("local", [None, "node"])
+def test_semi_join_reads_its_rows_twice(spark, local):
+    kind = "vo_id long, num int, num_cap int, citem_num int, rm_entity string"
+    made = [(1, 0, 3, None, "A"), (1, 1, 2, 0, "A"), (1, 2, 2, 0, "B"), (1, 3, 3, 0, "B"), (1, 1, 2, 0, "A"), (2, 0, 0, 0, "A"), (None, 0, 1, 0, "A"), (None, 1, 1, 0, "B"), (3, 0, None, 0, "A"), (3, 1, 1, 0, "B")]
+    nodes = spark.createDataFrame([*made, made[2]], kind)
+    a, b = (c.nodes_as(nodes, x, where=F.col("rm_entity") == x.upper(), columns=["rm_entity"]) for x in "ab")
+    got = c.contains(a, "a", b, "b", how="left_semi", local=local)
+    assert got.columns == a.columns
+    assert rows(got.select("vo_id", "a_num", "a_rm_entity")) == ([(1, 0, "A")] if local is None else []) + [(1, 1, "A")] * 2
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 4
+
+
+def test_documents_of_one_file_are_flattened_by_all_cores(spark, tmp_path):
+    doc = F.struct(F.lit("COMPOSITION").alias("_type"), F.array(F.struct(F.lit("ELEMENT").alias("_type"))).alias("content"))
+    docs = spark.range(40).coalesce(1).select("id", doc.alias("doc"))
+    docs.write.parquet(f"{tmp_path}/in")
+    seen = []
+
+    def pattern(nodes):
+        seen.append(nodes.rdd.getNumPartitions())
+        return nodes.filter("rm_entity = 'ELEMENT' AND id % 3 = 0")
+
+    stream = spark.readStream.schema(docs.schema).parquet(f"{tmp_path}/in")
+    checks.stream_contains(stream, "id", "doc", pattern, f"{tmp_path}/out", f"{tmp_path}/checkpoint")
+    assert seen == [spark.sparkContext.defaultParallelism]
+    assert rows(spark.read.parquet(f"{tmp_path}/out/batch=0").select("id")) == sorted(((i,) for i in range(0, 40, 3)), key=repr)
