@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from recspark.catalog import documents as cat  # noqa: F401
+from recspark.catalog.base import BUILDERS
 from recspark.operators import flatten as fl
 
 _LEAF = "_type: string, archetype_node_id: string, v: double, tags: array<string>"
@@ -97,3 +99,17 @@ def test_rebuilding_compares_texts(spark):
     assert json.loads(cut.select(F.to_json("doc")).first()[0]) == doc
     with pytest.raises(Exception, match="has no row"):
         fl.reconstruct_documents(nodes.filter("entity_idx <> 'content1.'"), ["vo_id"]).collect()
+
+
+def test_positions_without_data(spark):
+    docs = structs(spark, DOCS)
+    for frame in (docs, docs.select("vo_id", F.to_json("doc").alias("doc"))):
+        whole, slim = fl.flatten_documents(frame, "vo_id", "doc"), fl.flatten_documents(frame, "vo_id", "doc", with_data=False)
+        assert rows(slim) == rows(whole.drop("data")) and slim.columns == whole.drop("data").columns
+        assert "to_variant_object(map" not in slim._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["B9_subtree_detached"])
+def test_tops_of_subtrees_need_no_data(tables, name):
+    plan = BUILDERS[name](tables)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("mixed in one array") == 1 and "try_variant_get(_doc" not in plan
