@@ -109,7 +109,7 @@ def test_positions_without_data(spark):
         assert "to_variant_object(map" not in slim._jdf.queryExecution().optimizedPlan().toString()
 
 
-@pytest.mark.parametrize("name", ["B9_subtree_detached", "B9_subtree_document"])
+@pytest.mark.parametrize("name", ["B9_subtree_detached", "B9_subtree_document", "A11_reconstruct_subtrees"])
 def test_tops_of_subtrees_need_no_data(tables, name):
     plan = BUILDERS[name](tables)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("mixed in one array") == 1 and "try_variant_get(_doc" not in plan
