@@ -62,11 +62,11 @@ def stream_contains(
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        # a few files would be flattened by as many tasks; the pattern's frames share the shuffle
+        # a few files would be flattened by as many tasks; the pattern's frames and the result share the shuffle
         cores = batch.sparkSession.sparkContext.defaultParallelism
         docs = batch.repartition(cores) if batch.rdd.getNumPartitions() < cores else batch
         nodes = with_value_columns(flatten_documents(docs, id_col, doc_col, max_depth))
         hits = pattern(nodes).select(id_col).distinct()
-        write_batch(batch.join(hits, id_col, "left_semi"), out, batch_id)
+        write_batch(docs.join(hits, id_col, "left_semi"), out, batch_id)
 
     return run_to_end(docs, each, checkpoint)
